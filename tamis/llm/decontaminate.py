@@ -45,11 +45,12 @@ class Folded(dict):
         if len(self) >= CACHE_ENTRIES:
             self.clear()
         core = word.strip(TRIM)
+        core = core.lower() if core.isascii() else core.decode().strip("«»“”„‘’‚…—–¿¡").lower().encode()
         value = self[word] = (xxhash.xxh3_64_intdigest(core) | 1) if core else 0
         return value
 
     def of(self, text: bytes) -> np.ndarray:
-        words = text.lower().split()
+        words = text.split()
         out = np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
         return out if out.all() else out[out != 0]
 

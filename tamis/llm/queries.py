@@ -9,6 +9,7 @@ from tamis.llm.line_rules import op3_line_rules
 from tamis.llm.mixing import op8_mix_sources
 from tamis.llm.pii import op1_personal_data
 from tamis.llm.token_ids import op5_token_shards
+from tamis.llm.toxicity import op4_toxicity
 
-QUERIES = {q.__name__: q for q in (op1_personal_data, op3_line_rules, op5_token_shards, op6_decontaminate, op7_license_scan, op8_mix_sources, op10_language_id)}
+QUERIES = {q.__name__: q for q in (op1_personal_data, op3_line_rules, op4_toxicity, op5_token_shards, op6_decontaminate, op7_license_scan, op8_mix_sources, op10_language_id)}
 ORACLE_SQL: dict[str, str] = {}
