@@ -103,3 +103,43 @@ def texts(column) -> Iterable[bytes]:
     import pyarrow as pa
 
     return (x or b"" for x in column.cast(pa.large_binary()).to_pylist())
+
+
+def membership(hashes: DataFrame, column: str, log2_bits: int) -> bytes:
+    """A bit table of 2**log2_bits bits with the bits of all values of a long column set (top bits of the mixed value).
+
+    Tasks set the bits of one stretch of the table each; what reaches the driver is the table, whose size is fixed.
+    """
+    import pyarrow as pa
+
+    stretch = max(3, log2_bits - 6)  # 64 stretches
+    at = F.shiftrightunsigned(F.col(column), 64 - log2_bits)
+
+    def run(batches):
+        tables: dict[int, np.ndarray] = {}
+        for b in batches:
+            bits = b.column(0).to_numpy()
+            for part in np.unique(bits >> stretch):
+                own = tables.setdefault(int(part), np.zeros(1 << stretch, dtype=bool))
+                own[bits[bits >> stretch == part] & ((1 << stretch) - 1)] = True
+        for part, own in tables.items():
+            yield pa.RecordBatch.from_arrays([pa.array([part], type=pa.int64()), pa.array([np.packbits(own).tobytes()], type=pa.binary())], names=["part", "bits"])
+
+    dealt = hashes.select(at.alias("at")).where("at is not null").repartition(64, F.shiftright("at", stretch))
+    out = bytearray(1 << (log2_bits - 3))
+    size = 1 << (stretch - 3)
+    for row in dealt.mapInArrow(run, "part long, bits binary").toLocalIterator():
+        out[row["part"] * size : (row["part"] + 1) * size] = row["bits"]
+    return bytes(out)
+
+
+class Members:
+    """Reads a bit table that membership() has made."""
+
+    def __init__(self, table: bytes):
+        self.bits = np.frombuffer(table, dtype=np.uint8)
+        self.shift = np.uint64(64 - (len(table) * 8).bit_length() + 1)
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        at = (hashes >> self.shift).astype(np.int64)
+        return (self.bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
