@@ -7,9 +7,11 @@ from tamis.llm.language_id import op10_language_id
 from tamis.llm.licenses import op7_license_scan
 from tamis.llm.line_rules import op3_line_rules
 from tamis.llm.mixing import op8_mix_sources
+from tamis.llm.near_duplicates import op9_near_duplicates
+from tamis.llm.ngram_lm import op2_ngram_scores
 from tamis.llm.pii import op1_personal_data
 from tamis.llm.token_ids import op5_token_shards
 from tamis.llm.toxicity import op4_toxicity
 
-QUERIES = {q.__name__: q for q in (op1_personal_data, op3_line_rules, op4_toxicity, op5_token_shards, op6_decontaminate, op7_license_scan, op8_mix_sources, op10_language_id)}
+QUERIES = {q.__name__: q for q in (op1_personal_data, op2_ngram_scores, op3_line_rules, op4_toxicity, op5_token_shards, op6_decontaminate, op7_license_scan, op8_mix_sources, op9_near_duplicates, op10_language_id)}
 ORACLE_SQL: dict[str, str] = {}
