@@ -22,6 +22,8 @@ document longer than a shard has a shard to itself. Columns beyond doc_id and te
 
 from __future__ import annotations
 
+import re
+import struct
 import uuid
 import zlib
 
@@ -38,30 +40,74 @@ SHARD_IDS = 1_000_000
 SHARD_DOCS = 20_000
 MAGIC = int.from_bytes(b"TMS1", "little")
 NULL_KEY = -(1 << 63)
-CACHE_WORDS = 700_000
+CACHE_WORDS = 200_000  # a generation of a cache; two are held
 
-_caches: dict = {}  # of this worker: tokenizer path -> _Words
+_encoders: dict = {}  # of this worker: tokenizer path -> Encoder
 
+# Texts whose characters lower-case and split alike everywhere: ASCII white space, marks, digits and letters, and the letters of Latin-1.
+SIMPLE = re.compile("[ -~\t-\r\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+# Fixed by the tokenizer: how it splits such texts once they are lower case.
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^ \t-\ra-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
-class _Words(dict):
-    """word -> its ids as bytes. The tokenizer never joins over white space and drops it, so words between ASCII white space can be encoded alone."""
+
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for letters from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+class Generations(dict):
+    """A bounded cache: when it is full the older half goes, and entries still in use come back from it."""
+
+    def __init__(self, make):
+        self.make, self.old = make, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= CACHE_WORDS:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+class Encoder:
+    """Encodes texts piece by piece, each distinct piece once.
+
+    Simple texts are split into the tokenizer's pieces here, and each piece goes to its BPE model. In any
+    other text each word goes through the whole tokenizer, which never joins over white space and drops it.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        # Split and fold by hand only for the tokenizer these rules are those of.
+        probe = "Don't STOP, the '90s: \u00c9t\u00e9 a1b22 we'll--x"
+        self.simple = True
+        self.words, self.pieces = Generations(self._word), Generations(self._piece)
+        self.simple = self.encode(probe.encode()) == self._packed(self.tokenizer.encode(probe, add_special_tokens=False).ids)
+
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _piece(self, piece: str) -> bytes:
+        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return self._packed([t.id for t in self.model.tokenize(letters)])
+
+    def _word(self, word: bytes) -> bytes:
+        return self._packed(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
 
-    def of(self, words: list[bytes]) -> bytes:
-        new = list({w for w in words if w not in self})
-        if new:
-            if len(self) + len(new) > CACHE_WORDS:
-                self.clear()
-                new = list(set(words))
-            for k in range(0, len(new), 20_000):
-                part = new[k : k + 20_000]
-                for w, e in zip(part, self.tokenizer.encode_batch_fast([x.decode() for x in part], add_special_tokens=False), strict=True):
-                    self[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return b"".join(map(self.__getitem__, words))
+    def encode(self, text: bytes) -> bytes:
+        s = text.decode()
+        if self.simple and "<|" not in s and SIMPLE.fullmatch(s):
+            return b"".join(map(self.pieces.__getitem__, PIECES.findall(s.lower())))
+        return b"".join(map(self.words.__getitem__, text.split()))
 
 
 def default_tokenizer() -> str:
@@ -180,7 +226,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_ids: i
     def run(batches):
         from pyspark import TaskContext
 
-        words = _caches.setdefault(tokenizer, _Words(tokenizer))
+        encoder = _encoders.get(tokenizer) or _encoders.setdefault(tokenizer, Encoder(tokenizer))
         part, shard, last, ordinal = TaskContext.get().partitionId(), 0, None, 0
         keys, ordinals, payloads, size = [], [], [], 0
         end = np.array([END_ID], dtype="<u4").tobytes()
@@ -194,7 +240,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_ids: i
                 key = NULL_KEY if doc_id is None else doc_id
                 ordinal = ordinal + 1 if key == last else 0
                 last = key
-                ids = words.of((text or b"").split()) + end
+                ids = encoder.encode(text or b"") + end
                 if payloads and (size + len(ids) // 4 > shard_ids or len(keys) == SHARD_DOCS):
                     yield out()
                     keys, ordinals, payloads, size, shard = [], [], [], 0, shard + 1
