@@ -48,7 +48,7 @@ def where(df: DataFrame, *items: str, json_column: str | None = None) -> DataFra
 def numeric(df: DataFrame, field: str) -> bool:
     """Whether all present values of a field are numbers: one row, from partial results."""
     c = F.col(field).cast("string")
-    return bool(df.agg(F.bool_and(c.try_cast("double").isNotNull()).alias("all")).first()["all"])
+    return df.agg(F.count_if(c.isNotNull() & c.try_cast("double").isNull())).first()[0] == 0
 
 
 def ordering(df: DataFrame, field: str, descending: bool = False) -> Column:

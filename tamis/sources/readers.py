@@ -24,7 +24,7 @@ def json_lines(spark: SparkSession, path: str, schema: str, bad_rows: str = "cou
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Physical lines of each file with their numbers from 1: file, line, value. A file is read by one task."""
-    whole = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     body = F.regexp_replace("value", r"\r?\n\z", "")
     return whole.select("file", F.posexplode(F.split(body, r"\r?\n")).alias("at", "value")).select("file", (F.col("at") + 1).alias("line"), "value")
 
@@ -34,7 +34,7 @@ def json_array(spark: SparkSession, path: str, schema: str, keys: tuple[str, ...
     v = F.col("value")
     inner = F.coalesce(*[F.when(F.startswith(F.get_json_object(v, f"$.{k}"), F.lit("[")), F.get_json_object(v, f"$.{k}")) for k in keys])
     body = F.when(F.startswith(F.ltrim(v), F.lit("[")), v).otherwise(inner)
-    return spark.read.option("wholetext", True).text(path).select(F.explode(F.from_json(body, f"array<struct<{schema}>>")).alias("r")).select("r.*")
+    return spark.read.text(path, wholetext=True).select(F.explode(F.from_json(body, f"array<struct<{schema}>>")).alias("r")).select("r.*")
 
 
 def delimited(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
@@ -49,7 +49,7 @@ def xml_rows(spark: SparkSession, path: str, tag: str) -> DataFrame:
 
 def directories(spark: SparkSession, path: str) -> DataFrame:
     """One row a file below path: the directory it stands in, its name, its text."""
-    d = spark.read.options(wholetext=True, recursiveFileLookup=True).text(path)
+    d = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     file = F.col("_metadata.file_path")
     return d.select(F.regexp_extract(file, r"([^/]+)/[^/]+$", 1).alias("dir"), F.regexp_extract(file, r"([^/]+)$", 1).alias("name"), "value")
 
