@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 # Entries of a per-task word cache; a full cache is emptied, so memory stays bounded.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 # Rows of an Arrow batch. Texts can be long, so batches hold few of them.
 BATCH_ROWS = 1_000
 

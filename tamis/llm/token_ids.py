@@ -36,11 +36,11 @@ from pyspark.sql import functions as F
 from tamis.llm.common import mixed, scratch_folder, small_batches, table
 
 END_ID = 1
-SHARD_IDS = 1_000_000
+SHARD_IDS = 500_000
 SHARD_DOCS = 20_000
 MAGIC = int.from_bytes(b"TMS1", "little")
 NULL_KEY = -(1 << 63)
-CACHE_WORDS = 200_000  # a generation of a cache; two are held
+CACHE_WORDS = 110_000  # a generation of a cache; two are held
 
 _encoders: dict = {}  # of this worker: tokenizer path -> Encoder
 
