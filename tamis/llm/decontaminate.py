@@ -42,7 +42,7 @@ class Folded(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= CACHE_ENTRIES:
+        if len(self) >= 2 * CACHE_ENTRIES:
             self.clear()
         core = word.strip(TRIM)
         core = core.lower() if core.isascii() else core.decode().strip("«»“”„‘’‚…—–¿¡").lower().encode()
@@ -50,7 +50,7 @@ class Folded(dict):
         return value
 
     def of(self, text: bytes) -> np.ndarray:
-        words = text.split()
+        words = text.lower().split()
         out = np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
         return out if out.all() else out[out != 0]
 
