@@ -4,17 +4,18 @@ Counting. Tasks count words and word pairs of the training texts and send sorted
 hashes to their owners (``part``, the hash's top bits), who add them up: unigrams exactly, pairs that come at
 least ``LEAST_PAIR`` times. All documents count.
 
-Filter (log-frequency Bloom filter): a count c has level ``1 + floor(2 log2 c)``; an n-gram is put in once for
+Filter (log-frequency Bloom filter): a count c has level ``1 + floor(2 log2 c)``; a pair is put in once for
 each level up to its own, ``PROBES`` bits each. A reader probes level after level until one is missing, which gives the
-quantised count. The filter has ``FILTER_BITS`` bits whatever the corpus: if all insertions don't fit at ``BITS_EACH`` bits
-each, the lowest levels are left out, first where they are most. It goes to the workers; its size is fixed.
+quantised count. Each part has a filter of its own, with ``BITS_EACH`` bits for each insertion counted and at least its share
+of ``2^FILTER_BITS``: the filters grow with the corpus, by the number of parts, and no level is left out. They
+stay with the owners: a batch sends its distinct pairs there and their levels travel back. Pairs travel as the
+``KEY_BYTES`` bytes of their hashes after the part's bits, words as whole hashes.
 
 Score: log10 of ``p(w | v) = (min(c(vw), c(v)) + MU * p(w)) / (c(v) + MU)`` over the words and the end, with
-``p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1))``, counts as the filter has them.
+``p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1))``; counts of words are exact, those of pairs as the filter has them.
 
-Base score: the same unigram formula with exact counts. Words that make up at least ``1 / FREQUENT`` of all
-tokens (so at most FREQUENT words) are looked up in the tasks; the others travel, packed, to the
-owners of their counts, and their sums travel back.
+Base score: the unigram formula alone. Words that make up at least ``1 / FREQUENT`` of all tokens (so at most
+FREQUENT words) are looked up in the tasks; the others travel with the pairs to the owners of their counts.
 
 Null or empty text: one token, the end. Repeated rows count as often as they stand there. Null ids count as
 the empty string in the split. An empty training fold gives N = V = 0 and uniform scores. Columns
@@ -31,8 +32,9 @@ from pyspark.sql import functions as F
 from tamis.llm.common import MIX_1, MIX_2, WordHashes, fold, mixed, small_batches, table, written
 
 LEAST_PAIR = 2
-FILTER_BITS = 27  # log2
+FILTER_BITS = 27  # log2, of all parts together, at least
 BITS_EACH, PROBES = 10, 3
+KEY_BYTES = 5  # two of a part's pairs meet once in 10^12
 LEVELS = 80
 MU = 2_000.0
 FREQUENT = 1 << 19
@@ -57,28 +59,46 @@ def level_counts() -> np.ndarray:
     return np.where(k == 0, 0, (low + np.maximum(low, high)) / 2)
 
 
-def bit_places(h: np.ndarray, levels: np.ndarray, probe: int) -> np.ndarray:
-    """Place of one probe of an n-gram at a level: in the stretch of the table that its top six bits name."""
-    inner = mixed(h + (levels.astype(np.uint64) * np.uint64(PROBES) + np.uint64(probe)) * MIX_1) >> np.uint64(70 - FILTER_BITS)
-    return ((h >> np.uint64(58)) << np.uint64(FILTER_BITS - 6) | inner).astype(np.int64)
+def bit_places(h: np.ndarray, step: int, probe: int, bits: int) -> np.ndarray:
+    """Place of one probe of n-grams at a level in a filter of so many bits."""
+    return (mixed(h + np.uint64(step * PROBES + probe) * MIX_1) % np.uint64(bits)).astype(np.int64)
 
 
-class LogFrequencyFilter:
-    def __init__(self, bits: bytes, lowest: int):
-        self.bits, self.lowest, self.stands = np.frombuffer(bits, dtype=np.uint8), lowest, level_counts()
+def packed(h: np.ndarray, log2_parts: int) -> bytes:
+    """Sorted hashes of one part by their KEY_BYTES bytes after the part's bits; all lowest bytes first, so that the highest compress."""
+    return (h << np.uint64(log2_parts)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - KEY_BYTES :].T.tobytes()
 
-    def counts(self, h: np.ndarray) -> np.ndarray:
-        """Quantised counts of n-grams, by repeated membership probes."""
-        found = np.zeros(len(h), dtype=np.int64)
-        open_ = np.arange(len(h))
-        for k in range(self.lowest, LEVELS + 1):
-            if not len(open_):
-                break
-            for probe in range(PROBES):
-                at = bit_places(h[open_], np.full(len(open_), k), probe)
-                open_ = open_[(self.bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1]
-            found[open_] = k
-        return self.stands[found]
+
+def unpacked(keys: bytes, part: int, log2_parts: int) -> np.ndarray:
+    """The hashes of packed(), up to the bits it keeps."""
+    out = np.zeros((len(keys) // KEY_BYTES, 8), dtype=np.uint8)
+    out[:, 8 - KEY_BYTES :] = np.frombuffer(keys, np.uint8).reshape(KEY_BYTES, -1).T
+    return out.view("<u8")[:, 0] >> np.uint64(log2_parts) | np.uint64(part << 64 - log2_parts)
+
+
+def filter_of(h: np.ndarray, levels: np.ndarray, bits_each: int, least_bits: int) -> bytes:
+    """The filter of n-grams with these levels, sized by their insertions."""
+    bits = max(8, least_bits, int(levels.sum()) * bits_each) + 7 & ~7
+    own = np.zeros(bits, dtype=bool)
+    for step in range(1, int(levels.max(initial=0)) + 1):
+        h, levels = h[levels >= step], levels[levels >= step]
+        for probe in range(PROBES):
+            own[bit_places(h, step, probe, bits)] = True
+    return np.packbits(own).tobytes()
+
+
+def levels_in(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Levels of n-grams by repeated membership probes; table: the bytes of filter_of."""
+    found = np.zeros(len(h), dtype=np.uint8)
+    open_ = np.arange(len(h)) if len(table) else np.empty(0, np.int64)
+    for step in range(1, LEVELS + 1):
+        for probe in range(PROBES):
+            at = bit_places(h[open_], step, probe, 8 * len(table))
+            open_ = open_[(table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1]
+        if not len(open_):
+            break
+        found[open_] = step
+    return found
 
 
 def _parts(spark: SparkSession, docs: DataFrame) -> int:
@@ -88,7 +108,8 @@ def _parts(spark: SparkSession, docs: DataFrame) -> int:
 
 
 def counted(docs: DataFrame, log2_parts: int) -> DataFrame:
-    """docs: text, held_out. Rows of packed counts: part, kind (1 words, 2 pairs), hashes, trained, held (packed, sorted by hash)."""
+    """docs: text, held_out. Rows by part and kind: 1 words with packed hashes, trained, held (sorted by hash); 2 the filter of the pairs."""
+    bits_each, least_bits = BITS_EACH, (1 << FILTER_BITS) >> log2_parts
 
     def run(batches):
         words = WordHashes()
@@ -104,7 +125,8 @@ def counted(docs: DataFrame, log2_parts: int) -> DataFrame:
                     if not len(h):
                         continue
                     ones = c == 1  # most: sent without their counts
-                    rows.append((part, kind, held, h[ones].tobytes(), h[~ones].tobytes(), c[~ones].astype("<u4").tobytes()))
+                    once, more = (packed(x, log2_parts) if kind == 2 else x.tobytes() for x in (h[ones], h[~ones]))
+                    rows.append((part, kind, held, once, more, c[~ones].astype("<u4").tobytes()))
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
             kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, kinds, strict=True)], names=["part", "kind", "held", "once", "more", "counts"])
@@ -132,7 +154,7 @@ def counted(docs: DataFrame, log2_parts: int) -> DataFrame:
                     if pieces:
                         yield total(now, pieces)
                     now, pieces = (part, kind), []
-                h1, h2 = np.frombuffer(once, "<u8"), np.frombuffer(more, "<u8")
+                h1, h2 = (unpacked(x, part, log2_parts) if kind == 2 else np.frombuffer(x, "<u8") for x in (once, more))
                 c = np.concatenate((np.ones(len(h1), np.int64), np.frombuffer(counts, "<u4").astype(np.int64)))
                 pieces.append((np.concatenate((h1, h2)), c, held))
         if pieces:
@@ -150,55 +172,19 @@ def counted(docs: DataFrame, log2_parts: int) -> DataFrame:
         h = h[starts]
         if key[1] == 2:
             keep = trained >= LEAST_PAIR
-            h, trained, rest = h[keep], trained[keep], rest[keep]
-        levels = np.bincount(level(trained[trained > 0]), minlength=LEVELS + 1)
-        row = (key[0], key[1], h.tobytes(), trained.astype("<i8").tobytes(), rest.astype("<i8").tobytes(), int(trained.sum()), int((trained > 0).sum()), int((trained + rest).sum()), levels.tolist())
-        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([pa.array([x], type=t) for x, t in zip(row, kinds, strict=True)], names=["part", "kind", "hashes", "trained", "held", "n", "v", "n_all", "levels"])
+            row = (*key, b"", b"", b"", filter_of(h[keep], level(trained[keep]), bits_each, least_bits), 0, 0, 0)
+        else:
+            row = (*key, h.tobytes(), trained.astype("<i8").tobytes(), rest.astype("<i8").tobytes(), b"", int(trained.sum()), int((trained > 0).sum()), int((trained + rest).sum()))
+        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array([x], type=t) for x, t in zip(row, kinds, strict=True)], names=["part", "kind", "hashes", "trained", "held", "filter", "n", "v", "n_all"])
 
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         sent.repartition(partitions, "part").sortWithinPartitions("part", "kind")
-        .mapInArrow(add, "part long, kind int, hashes binary, trained binary, held binary, n long, v long, n_all long, levels array<long>")
+        .mapInArrow(add, "part long, kind int, hashes binary, trained binary, held binary, filter binary, n long, v long, n_all long")
     )
 
 
-def build_filter(counts: DataFrame, log2_parts: int) -> LogFrequencyFilter:
-    """The filter of all counts. Its table, of fixed size, is what comes to the driver."""
-    of_level = counts.select(F.posexplode("levels")).groupBy("pos").agg(F.sum("col").alias("n")).collect()  # LEVELS rows
-    at = np.zeros(LEVELS + 2)
-    for r in of_level:
-        at[r["pos"]] = r["n"]
-    above = np.cumsum(at[::-1])[::-1]  # n-grams of each level and higher: the insertions at that level
-    insertions = np.cumsum(above[::-1])[::-1]  # if levels from k on are put in
-    lowest = next(k for k in range(1, LEVELS + 2) if insertions[k] * BITS_EACH <= 1 << FILTER_BITS)
-    stretch = FILTER_BITS - 6
-
-    def run(batches):
-        tables: dict[int, np.ndarray] = {}
-        for b in batches:
-            for hashes, trained in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                c = np.frombuffer(trained, "<i8")
-                h, k = np.frombuffer(hashes, "<u8")[c > 0], level(c[c > 0])
-                for step in range(lowest, int(k.max(initial=0)) + 1):
-                    h, k = h[k >= step], k[k >= step]
-                    for probe in range(PROBES):
-                        bits = bit_places(h, np.full(len(h), step), probe)
-                        for part in np.unique(bits >> stretch):
-                            own = tables.setdefault(int(part), np.zeros(1 << stretch, dtype=bool))
-                            own[bits[bits >> stretch == part] & ((1 << stretch) - 1)] = True
-        for part, own in tables.items():
-            yield pa.RecordBatch.from_arrays([pa.array([part], type=pa.int64()), pa.array([np.packbits(own).tobytes()], type=pa.binary())], names=["stretch", "bits"])
-
-    # Parts are the hashes' top bits, 64 or more of them: those of one stretch go to one task.
-    dealt = counts.select(F.shiftright("part", log2_parts - 6).alias("group"), "hashes", "trained")
-    size = 1 << (stretch - 3)
-    out = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
-    for row in dealt.repartition(64, "group").mapInArrow(run, "stretch long, bits binary").toLocalIterator():
-        out[row["stretch"] * size : (row["stretch"] + 1) * size] |= np.frombuffer(row["bits"], np.uint8)
-    return LogFrequencyFilter(out.tobytes(), lowest)
-
-
 def frequent(counts: DataFrame, n_all: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and training counts of the words with at least n_all / FREQUENT of all occurrences: at most FREQUENT words."""
     least = n_all / FREQUENT
@@ -226,6 +212,19 @@ def looked_up(keys: np.ndarray, values: np.ndarray, h: np.ndarray) -> tuple[np.n
     return np.where(have, values[at], 0), have
 
 
+class Tokens:
+    """The words of a batch of texts, distinct words and pairs sorted by hash; the same whenever it is made."""
+
+    def __init__(self, words: WordHashes, texts: pa.Array, keys: np.ndarray, values: np.ndarray):
+        h = [np.append(words.of((x or b"").lower().split()), END) for x in texts.cast(pa.large_binary()).to_pylist()]
+        self.size = np.array([len(x) for x in h])
+        self.first = np.append(0, np.cumsum(self.size)[:-1])
+        self.words, self.back = np.unique(np.concatenate(h), return_inverse=True)
+        self.pairs, self.pair_back = np.unique(np.concatenate([pair_hashes(x) for x in h]), return_inverse=True)
+        self.counts, have = looked_up(keys, values, self.words)
+        self.rare = np.flatnonzero(~have)
+
+
 def score(docs: DataFrame) -> DataFrame:
     """docs: doc_id, text, held_out. One row a document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
@@ -235,99 +234,92 @@ def score(docs: DataFrame) -> DataFrame:
     sums = counts.where("kind = 1").agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.sum("n_all").alias("n_all")).first()
     n, v, n_all = (sums[k] or 0 for k in ("n", "v", "n_all"))
     norm = float(np.log10(n + 0.5 * (v + 1)))
-    model = build_filter(counts, log2_parts)
-    bits, lowest = spark.sparkContext.broadcast(model.bits.tobytes()), model.lowest
+    # As many starts as ends.
+    n_end = counts.where("kind = 1").select("hashes", "trained").where(F.col("part") == int(END >> np.uint64(64 - log2_parts))).first()
+    starts = int(looked_up(np.frombuffer(n_end["hashes"], "<u8"), np.frombuffer(n_end["trained"], "<i8"), np.array([END]))[0][0]) if n_end else 0
     common = spark.sparkContext.broadcast(frequent(counts, n_all))
 
-    def run(batches):
+    def dealt(batches):
         from pyspark import TaskContext
 
-        words, lm = WordHashes(), LogFrequencyFilter(bits.value, lowest)
-        keys, values = common.value
         task = TaskContext.get().partitionId()
         for ordinal, b in enumerate(batches):
-            m = b.num_rows
-            if not m:
-                continue
-            texts = [np.append(words.of((x or b"").lower().split()), END) for x in b.column(1).cast(pa.large_binary()).to_pylist()]
-            size = np.array([len(h) for h in texts])
-            doc = np.repeat(np.arange(m), size)
-            h = np.concatenate(texts)
-            uniq, back = np.unique(h, return_inverse=True)
-            exact, have = looked_up(keys, values, uniq)
-            base = np.bincount(doc, weights=np.where(have, np.log10(exact + 0.5), 0.0)[back], minlength=m)
-            known = np.bincount(doc, weights=(exact > 0)[back], minlength=m).astype(np.int64)
-            quant = lm.counts(uniq)
-            c_w = quant[back]
-            first = np.append(0, np.cumsum(size)[:-1])
-            c_v = np.append(0.0, c_w[:-1])
-            c_v[first] = lm.counts(np.array([END]))[0]  # as many starts as ends
-            pairs, pair_back = np.unique(np.concatenate([pair_hashes(x) for x in texts]), return_inverse=True)
-            c_vw = np.minimum(lm.counts(pairs)[pair_back], c_v)
-            p = (c_vw + MU * (c_w + 0.5) / 10**norm) / (c_v + MU)
-            total = np.bincount(doc, weights=np.log10(p), minlength=m)
-            batch = (task << 32) + ordinal
-            sheet = pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(size), pa.array(known), pa.array(base), pa.array(total)], names=["doc_id", "held_out", "n_tokens", "known", "base", "score"])
-            rows = [(batch, -1, sheet.serialize().to_pybytes(), b"")]
-            rare = np.flatnonzero(~have[back])
-            order = np.argsort(h[rare], kind="stable")
-            rare_h, rare_doc = h[rare][order], doc[rare][order].astype("<u4")
-            edges = np.searchsorted(rare_h, np.arange(1, 1 << log2_parts, dtype=np.uint64) << np.uint64(64 - log2_parts))
-            for part, (x, y) in enumerate(zip(np.split(rare_h, edges), np.split(rare_doc, edges), strict=True)):
-                if len(x):
-                    rows.append((batch, part, x.tobytes(), y.tobytes()))
-            cols = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["batch", "part", "x", "y"])
-
-    sent = written(docs.select("doc_id", "text", "held_out").mapInArrow(run, "batch long, part long, x binary, y binary"), "scored-batches")
+            if b.num_rows:
+                sheet = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sheet, b.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as to:
+                    to.write_batch(b)
+                yield pa.RecordBatch.from_arrays([pa.array([(task << 32) + ordinal]), pa.array([sheet.getvalue().to_pybytes()], type=pa.binary())], names=["batch", "x"])
+
+    # Written, so that questions and answers are of the same batches.
+    sheets = written(docs.select("doc_id", "text", "held_out").mapInArrow(dealt, "batch long, x binary"), "batches")
+
+    def ask(batches):
+        words, (keys, values) = WordHashes(), common.value
+        edges = np.arange(1, 1 << log2_parts, dtype=np.uint64) << np.uint64(64 - log2_parts)
+        for b in batches:
+            for batch, sheet in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                t = Tokens(words, pa.ipc.open_stream(sheet.as_buffer()).read_next_batch().column(1), keys, values)
+                asked = [np.split(h, np.searchsorted(h, edges)) for h in (t.words[t.rare], t.pairs)]
+                rows = [(part, batch, x.tobytes(), packed(y, log2_parts)) for part, (x, y) in enumerate(zip(*asked, strict=True)) if len(x) or len(y)]
+                cols = list(zip(*rows, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["part", "batch", "x", "y"])
 
     def answer(batches):
-        """A part's counts come first, then the batches' questions."""
-        own, keys, values = None, None, None
+        """A part's counts and filter come first, then the batches' questions: hashes of words, of pairs. Back go counts, levels."""
+        own, none = None, (np.empty(0, np.uint64), np.empty(0, np.int64))
         for b in batches:
             out = []
             for part, batch, x, y in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if batch == -1:
-                    own, keys, values = part, np.frombuffer(x, "<u8"), np.frombuffer(y, "<i8")
-                    continue
-                c, _ = looked_up(keys, values, np.frombuffer(x, "<u8")) if own == part else (np.zeros(len(x) // 8, np.int64), None)
-                docs_, back = np.unique(np.frombuffer(y, "<u4"), return_inverse=True)
-                sheet = np.stack([docs_.astype(float), np.bincount(back, weights=np.log10(c + 0.5)), np.bincount(back, weights=c > 0)])
-                out.append((batch, part, sheet.tobytes()))
-            cols = list(zip(*out, strict=True)) if out else [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["batch", "part", "x"])
+                if part != own:
+                    own, (keys, values), table_ = part, none, np.empty(0, np.uint8)
+                if batch == -2:
+                    keys, values = np.frombuffer(x, "<u8"), np.frombuffer(y, "<i8")
+                elif batch == -1:
+                    table_ = np.frombuffer(x, np.uint8)
+                else:
+                    c, _ = looked_up(keys, values, np.frombuffer(x, "<u8"))
+                    out.append((batch, part, c.astype("<u4").tobytes(), levels_in(table_, unpacked(y, part, log2_parts)).tobytes()))
+            cols = list(zip(*out, strict=True)) if out else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["batch", "part", "x", "y"])
 
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    questions = sent.where("part >= 0").select("part", "batch", "x", "y")
-    owners = counts.where("kind = 1").select("part", F.lit(-1).cast("long").alias("batch"), F.col("hashes").alias("x"), F.col("trained").alias("y"))
-    answers = owners.unionByName(questions).repartition(partitions, "part").sortWithinPartitions("part", "batch").mapInArrow(answer, "batch long, part long, x binary")
+    questions = sheets.mapInArrow(ask, "part long, batch long, x binary, y binary")
+    is_words = F.col("kind") == 1
+    owners = counts.select("part", F.when(is_words, -2).otherwise(-1).cast("long").alias("batch"), F.when(is_words, F.col("hashes")).otherwise(F.col("filter")).alias("x"), F.col("trained").alias("y"))
+    answers = owners.unionByName(questions).repartition(partitions, "part").sortWithinPartitions("part", "batch").mapInArrow(answer, "batch long, part long, x binary, y binary")
 
     def finish(batches):
-        now, sheet = None, None
+        words, (keys, values), stands = WordHashes(), common.value, level_counts()
+        sheet, known, levels = None, [], []
 
         def done():
-            size, known, base = sheet["n_tokens"].to_numpy(), sheet["known"].to_numpy() + extra[1], sheet["base"].to_numpy() + extra[0]
-            arrays = [sheet["doc_id"], sheet["held_out"], sheet["n_tokens"], pa.array(known.astype(np.int64)), pa.array(np.full(len(size), n)), pa.array(base - size * norm), sheet["score"]]
+            b = pa.ipc.open_stream(sheet).read_next_batch()
+            t, m = Tokens(words, b.column(1), keys, values), b.num_rows
+            t.counts[t.rare] = np.frombuffer(b"".join(known), "<u4")  # parts come in the order of the hashes; rare words' counts are small
+            doc, c_w = np.repeat(np.arange(m), t.size), t.counts[t.back].astype(float)
+            c_v = np.append(0.0, c_w[:-1])
+            c_v[t.first] = starts
+            c_vw = np.minimum(stands[np.frombuffer(b"".join(levels), np.uint8)][t.pair_back], c_v)
+            logs = np.log10(c_w + 0.5) - norm
+            total = np.bincount(doc, weights=np.log10((c_vw + MU * 10**logs) / (c_v + MU)), minlength=m)
+            n_known = np.bincount(doc, weights=c_w > 0, minlength=m).astype(np.int64)
+            arrays = [b.column(0), b.column(2), pa.array(t.size), pa.array(n_known), pa.array(np.full(m, n)), pa.array(np.bincount(doc, weights=logs, minlength=m)), pa.array(total)]
             return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
         for b in batches:
-            for batch, part, x in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for _, part, x, y in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if part == -1:
                     if sheet is not None:
                         yield done()
-                    now, sheet = batch, pa.ipc.read_record_batch(pa.py_buffer(x), sheet_schema)
-                    extra = np.zeros((2, sheet.num_rows))
+                    sheet, known, levels = x, [], []
                 else:
-                    d, s, k = np.frombuffer(x).reshape(3, -1)
-                    extra[0][d.astype(int)] += s
-                    extra[1][d.astype(int)] += k
+                    known.append(x)
+                    levels.append(y)
         if sheet is not None:
             yield done()
 
-    sheet_schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
-    sheets = sent.where("part = -1").select("batch", "part", "x")
     return (
-        sheets.unionByName(answers).repartition(partitions, "batch").sortWithinPartitions("batch", "part")
+        sheets.select("batch", F.lit(-1).cast("long").alias("part"), "x", F.lit(b"").alias("y")).unionByName(answers).repartition(partitions, "batch").sortWithinPartitions("batch", "part")
         .mapInArrow(finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     )
 

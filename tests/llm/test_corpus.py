@@ -213,6 +213,32 @@ def test_scores_without_training_rows(spark):
     assert ngram_lm.score(frame(spark, []).selectExpr("*", "true as held_out")).count() == 0
 
 
+def rare_pair_scores(spark, uncut):
+    """(doc_id, score, brute force) of texts of rare words; pairs that come less than ``uncut`` times count 0."""
+    rng = np.random.default_rng(6)
+    rows = [(k, " ".join(f"r{int(x)}" for x in rng.zipf(1.3, 60) % 4000), "en", "s", 1) for k in range(120)]
+    docs = frame(spark, rows).selectExpr("*", "false as held_out")
+    seqs = {doc: [*text.split(), 0] for doc, text in texts_of(rows)}
+    c = collections.Counter(w for s in seqs.values() for w in s)
+    pairs = collections.Counter(p for s in seqs.values() for p in zip([1, *s], s, strict=False))
+    n, v = sum(c.values()), len(c)
+    assert sum(x == 1 for x in pairs.values()) > 1000
+    for r in ngram_lm.score(docs).collect():
+        s, lm = seqs[r["doc_id"]], 0.0
+        for x, w in zip([1, *s], s, strict=False):
+            cv = c[0] if x == 1 else c[x]
+            cvw = pairs[x, w] if pairs[x, w] >= uncut else 0
+            lm += np.log10((cvw + ngram_lm.MU * (c[w] + 0.5) / (n + 0.5 * (v + 1))) / (cv + ngram_lm.MU))
+        yield r["doc_id"], r["score"], lm
+
+
+def test_no_level_is_left_out_however_many_insertions(spark, monkeypatch):
+    # A filter of fixed size would hold 2**27 / BITS_EACH = 2048 insertions here; there are more.
+    monkeypatch.setattr(ngram_lm, "BITS_EACH", 1 << 16)
+    for doc, score, brute in rare_pair_scores(spark, ngram_lm.LEAST_PAIR):
+        assert score == pytest.approx(brute, rel=0.01), doc
+
+
 def test_rare_words_are_looked_up_by_their_owners(spark, monkeypatch):
     monkeypatch.setattr(ngram_lm, "FREQUENT", 4)
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", (fold("doc_id", 5) == 1).alias("held_out"))
