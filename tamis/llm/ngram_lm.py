@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tamis.llm.common import MIX_1, MIX_2, WordHashes, fold, mixed, small_batches, table, written
 
-LEAST_PAIR = 2
+LEAST_PAIR = 1
 FILTER_BITS = 27  # log2, of all parts together, at least
 BITS_EACH, PROBES = 10, 3
 KEY_BYTES = 5  # two of a part's pairs meet once in 10^12

@@ -239,6 +239,11 @@ def test_no_level_is_left_out_however_many_insertions(spark, monkeypatch):
         assert score == pytest.approx(brute, rel=0.01), doc
 
 
+def test_pairs_that_come_once_count(spark):
+    for doc, score, brute in rare_pair_scores(spark, 1):
+        assert score == pytest.approx(brute, rel=0.01), doc
+
+
 def test_rare_words_are_looked_up_by_their_owners(spark, monkeypatch):
     monkeypatch.setattr(ngram_lm, "FREQUENT", 4)
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", (fold("doc_id", 5) == 1).alias("held_out"))
