@@ -1,8 +1,8 @@
 """License scans by ordered signature rules (DataFrame functions only).
 
-A cheap keyword test on the whole text decides whether a document is looked at
-at all. Its words are then joined by single blanks, each rule whose keyword
-occurs is matched against that line, and every match becomes a detection: label,
+A document's words are joined by single blanks; only if a rule's keyword occurs in that
+line is it looked at further. Each rule whose keyword
+occurs is matched against the line, and every match becomes a detection: label,
 first and last word, priority, confidence. A detection whose interval lies inside that of
 another with a higher priority (or the same priority and a longer interval) is suppressed. Everything
 happens within the row: there is no shuffle, and the rule table is a literal.
@@ -28,9 +28,6 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# A text without any of these has no detection.
-ANCHORS = ("licen", "copyright", "reserved", "spdx", "public domain", "permission", "warrant", "creative commons", "gpl", "copyleft")
-ANCHOR_CC = r"(?i)cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+(?:by|0|zero)"
 
 
 def version(text: str) -> str:
@@ -41,7 +38,10 @@ def version(text: str) -> str:
 
 
 def rules() -> list[tuple[str, str, str, int, float]]:
-    """(label, keyword, pattern over blank-joined words, priority, confidence), most specific families first."""
+    """(label, keyword, pattern over blank-joined words, priority, confidence), most specific families first.
+
+    A line that a pattern matches in holds the rule's keyword.
+    """
     out: list[tuple[str, str, str, int, float]] = []
     add = lambda label, keyword, pattern, priority, confidence: out.append((label, keyword, pattern, priority, confidence))
     # Creative Commons: element sets by name and by abbreviation, with and without version.
@@ -145,7 +145,7 @@ def rules() -> list[tuple[str, str, str, int, float]]:
         ("openssl", " openssl ", "openssl license", 80, 0.9),
         ("ncsa", " ncsa ", "(?:university of illinois )?ncsa open source license", 80, 0.95),
         ("x11", " x11 ", "x11 license", 80, 0.9),
-        ("beerware", " beer ", "beer ?ware license", 80, 0.9),
+        ("beerware", " beer", "beer ?ware license", 80, 0.9),
         ("json", " json ", "json license", 70, 0.9),
         ("json", " good ", "shall be used for good not evil", 80, 0.95),
         ("hpnd", " permission ", "historical permission notice and disclaimer", 80, 0.95),
@@ -154,7 +154,7 @@ def rules() -> list[tuple[str, str, str, int, float]]:
         ("copyright", " copyright ", "copyright c? ?[12][0-9]{3}", 40, 0.6),
         ("copyright", " copyright ", "copyright (?:the |by )?(?:authors?|owner|holders?)", 35, 0.5),
         ("proprietary", " proprietary ", "proprietary and confidential", 70, 0.8),
-        ("proprietary", " licen", "(?:may not|must not|do not) (?:copy|reproduce|distribute) without (?:prior )?(?:written )?permission", 70, 0.8),
+        ("proprietary", " permission ", "(?:may not|must not|do not) (?:copy|reproduce|distribute) without (?:prior )?(?:written )?permission", 70, 0.8),
         ("no-warranty", " warrant", "without warrant(?:y|ies)(?: or conditions)? of any kind", 30, 0.4),
         ("no-warranty", " warrant", "as is without (?:any )?warrant(?:y|ies)", 30, 0.4),
         ("spdx", " spdx ", "spdx license identifier", 20, 0.6),
@@ -178,6 +178,12 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, SEPARATORS), "")
 
 
+def gate_words(signatures) -> list[str]:
+    """Keywords and base phrases of which every line with a detection holds one; those that hold another are left out."""
+    every = {rule[1] for rule in signatures} | {f" {phrase} " for phrase, _ in BASE}
+    return sorted(w for w in every if not any(o != w and o in w for o in every))
+
+
 def _spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
@@ -207,8 +213,8 @@ def _detections(line: Column, rule: Column) -> Column:
 def scan(docs: DataFrame, signatures=None) -> DataFrame:
     """docs: doc_id, text. Adds n_words, base and found (arrays of detections); other columns stay."""
     signatures = rules() if signatures is None else signatures
-    # exists() over one element and _let bind a value, so that it is computed once a row.
-    gate = F.exists(F.array(F.lower("text")), lambda low: reduce(or_, [F.contains(low, F.lit(a)) for a in ANCHORS])) | F.rlike("text", F.lit(ANCHOR_CC))
+    # _let binds a value, so that it is computed once a row.
+    gate = lambda line: reduce(or_, [F.contains(line, F.lit(w)) for w in gate_words(signatures)])
     line = F.concat(F.lit(" "), F.array_join(words(F.translate("text", UPPER, LOWER)), " "), F.lit(" "))
     base = _literal([(label, " ", phrase, 1000, 1.0) for phrase, label in BASE])
     own = _literal(signatures)
@@ -217,10 +223,10 @@ def scan(docs: DataFrame, signatures=None) -> DataFrame:
     inside = lambda d, o: (o["start"] <= d["start"]) & (o["end"] >= d["end"]) & (rank(o) > rank(d))
     hits = lambda line: places(line, F.filter(own, lambda r: F.contains(line, r["keyword"])))
     kept = lambda every: F.filter(every, lambda d: ~F.exists(every, lambda o: inside(d, o)))
-    detected = _let(line, lambda one: F.struct(places(one, base).alias("base"), _let(hits(one), kept).alias("found")))
+    detected = _let(line, lambda one: F.when(gate(one), F.struct(places(one, base).alias("base"), _let(hits(one), kept).alias("found"))))
     none = F.array().cast("array<struct<start:bigint,end:bigint,label:string,priority:int,confidence:double>>")
     out = docs.withColumn("n_words", F.size(words(F.coalesce("text", F.lit("")))).cast("long"))
-    out = out.withColumn("__d", F.when(gate, detected))
+    out = out.withColumn("__d", detected)
     return out.withColumns({c: F.coalesce(F.col("__d")[c], none) for c in ("base", "found")}).drop("__d")
 
 

@@ -159,6 +159,54 @@ def test_license_scan(spark):
     assert licenses.scan(frame(spark, [])).count() == 0
 
 
+def phrases(pattern):
+    """Texts of a rule's pattern: each alternative and optional piece at least once."""
+    from itertools import product
+    from re import _parser
+
+    def of(items):
+        out = [""]
+        for op, arg in items:
+            name = str(op)
+            if name == "LITERAL":
+                ways = [chr(arg)]
+            elif name == "IN":
+                ways = [chr(a if str(o) == "LITERAL" else a[0]) for o, a in arg]
+            elif name == "SUBPATTERN":
+                ways = of(arg[3])
+            elif name == "BRANCH":
+                ways = [w for x in arg[1] for w in of(x)]
+            else:
+                assert name == "MAX_REPEAT", name
+                least, most, inner = arg
+                ways = [w * n for w in of(inner) for n in {least, min(int(most), least + 1)}]
+            out = [x + w for x, w in product(out, dict.fromkeys(ways))]
+        return out
+
+    return list(dict.fromkeys(of(_parser.parse(pattern))))
+
+
+def test_every_license_rule_fires_on_its_phrase_alone(spark):
+    rules = licenses.rules()
+    texts = list(dict.fromkeys(t for rule in rules for t in phrases(rule[2])))
+    for label, keyword, pattern, _, _ in rules:
+        assert all(keyword in f" {t} " for t in phrases(pattern)), (label, keyword)
+    texts += ["Creative\nCommons Attribution 4.0", "Public  Domain", "CC0", "The WTFPL", "All rights\nreserved", "cc/by", "GENERAL PUBLIC\tLICENSE"]
+    out = {r["doc_id"]: r for r in licenses.scan(frame(spark, [(k, t, None, None, None) for k, t in enumerate(texts)])).collect()}
+    for k, text in enumerate(texts):
+        line = f" {' '.join(re.findall('[a-z0-9]+', text.lower()))} "
+        every = set()
+        for label, _, pattern, priority, _ in rules:
+            for m in re.finditer(f"(?<= )(?:{pattern})(?= )", line):
+                start = line[: m.start()].count(" ") - 1
+                every.add((start, start + m.group().count(" ") + 1, label, priority))
+        rank = lambda d: (d[3], d[1] - d[0])
+        kept = {d for d in every if not any(o[0] <= d[0] and o[1] >= d[1] and rank(o) > rank(d) for o in every)}
+        assert {(d["start"], d["end"], d["label"], d["priority"]) for d in out[k]["found"]} == kept, text
+        assert len(out[k]["found"]) + len(out[k]["base"]) > 0, text
+        assert sorted((d["start"], d["label"]) for d in out[k]["base"]) == sorted(naive_places(text)[1]), text
+
+
 def test_license_query_matches_words(spark):
     d = licenses.op7_license_scan(spark, "/root/testdata/sf0.001").collect()
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
