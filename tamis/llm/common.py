@@ -33,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of whole texts small enough for an executor's Python worker."""
+    """Keep Arrow batches of whole texts small enough for a Python worker. Stays set for the session; Spark itself bounds their bytes (64 MB)."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))

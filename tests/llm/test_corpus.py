@@ -86,6 +86,46 @@ def test_one_document_of_each_group_stays(spark):
     assert sorted(r["doc_id"] for r in out.collect()) == [1, 2] and out.columns == frame(spark, rows, extra=True).columns
 
 
+def test_one_row_of_each_group_stays_whatever_the_ids(spark):
+    texts = [" ".join(f"{g}{k}" for k in range(9)) for g in "pqrst"]
+    rows = [(3, texts[0]), (1, texts[0]), (3, "other words stand in this text")]  # one id with two texts
+    rows += [(4, texts[1]), (4, texts[1])]  # equal rows
+    rows += [(None, texts[2]), (5, texts[2])]  # a null id
+    rows += [(None, texts[3]), (None, texts[3].upper())]
+    rows += [(6, ""), (6, ""), (7, None)]  # linked with nothing
+    got = near_duplicates.one_of_each(frame(spark, [(doc, text, "en", "s", 1) for doc, text in rows], extra=True)).collect()
+    got = sorted(((r["doc_id"], (r["text"] or "").lower()) for r in got), key=str)
+    assert got == sorted([(1, texts[0]), (3, "other words stand in this text"), (4, texts[1]), (5, texts[2]), (None, texts[3]), (6, ""), (6, ""), (7, "")], key=str)
+
+
+def test_unlike_texts_that_share_keys_in_blocks(spark, monkeypatch):
+    # Pairs at about 0.7 share keys without being linked; a few are edited copies of others. Small blocks deal the keys out.
+    monkeypatch.setattr(near_duplicates, "BLOCK", 16)
+    rng = np.random.default_rng(8)
+    base = [f"b{k}" for k in range(300)]
+    rows = []
+    for k in range(120):
+        own = base[: 40 * (k % 3 == 0)] + base[40:] if k % 2 else base[20:]
+        text = " ".join(own + [f"own{k}x{x}" for x in range(int(rng.integers(40, 70)))])
+        rows.append((k, text, "en", "s", 1))
+        if k % 10 == 0:
+            rows.append((1000 - k, edited(rng, text, 0.02), "en", "s", 1))
+    got = near_duplicates.clustered(frame(spark, rows)).collect()
+    expected = brute_components(texts_of(rows))
+    assert len({c for _, _, c in expected}) > 20
+    assert as_sorted([(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got]) == as_sorted(expected)
+
+
+def test_inverted_index_finds_the_pairs_of_brute_force():
+    rng = np.random.default_rng(4)
+    pool = rng.integers(0, 1 << 60, 40).astype(np.uint64)
+    sets = [np.sort(rng.permutation(pool)[: int(rng.integers(1, 41))]) for _ in range(60)]
+    near = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 75 * len(np.union1d(a, b))
+    for first in (0, 25):
+        expected = {(x, y) for x in range(60) for y in range(x + 1, 60) if near(sets[x], sets[y]) and (not first or x < first <= y)}
+        assert expected and {(x, int(y)) for x, ys in near_duplicates.linked(sets, first) for y in ys} == expected
+
+
 def test_signatures_within_the_distance_share_a_key():
     rng = np.random.default_rng(2)
     for _ in range(300):
