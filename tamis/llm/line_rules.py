@@ -1,10 +1,11 @@
 """Quality rules, line first: lines that fail a rule go, then documents that lose too much of their text.
 
 Line rules, in order: ``blank`` (no word; not counted as a loss), ``symbols``
-(over ``SYMBOL_SHARE`` of its words carry one of #*$%&|<>), ``navigation`` (a
-menu: at least ``MENU_ITEMS`` items cut by bars, or a short line that is a navigation phrase),
-``boilerplate`` (a short line with a cookie, consent, login or script phrase),
-``punctuation`` (a long line without any sentence mark). A document is rejected if the
+(over ``SYMBOL_SHARE`` of its words carry one of #*$%&|<>, and it has more than two words), ``navigation`` (a
+menu: at least ``MENU_ITEMS`` items cut by bars; or a line of at most ``SHORT_LINE`` words that is nothing but a navigation
+phrase), ``boilerplate`` (a line of at most ``NOTICE_LINE`` words with a consent, login, script or rights phrase),
+``punctuation`` (a line of at least ``SENTENCE_LINE`` words whose last word doesn't end in an end mark, closing quotes and
+brackets aside). The phrases are given in English, German, French and Spanish. A document is rejected if the
 lost words exceed ``MOST_LOST`` of its words, or if it is below the base limits.
 
 Null or empty text: all counts 0, base_failed true, kept false. Each row is judged on its own, so ties,
@@ -27,12 +28,34 @@ LEAST_WORDS = 50
 SYMBOL_SHARE = 0.5
 MENU_ITEMS = 4
 SHORT_LINE = 8
-LONG_LINE = 40
+NOTICE_LINE = 25
+SENTENCE_LINE = 8
 MOST_LOST = 0.5
 
-NAVIGATION = re.compile(rb"(?i)^\W*(?:home|menu|search|next|previous|back to top|skip to (?:main )?content|read more|share (?:this|on)|site ?map|contact us|about us)\W*$")
-BOILERPLATE = re.compile(rb"(?i)cookie|javascript|log ?in|sign (?:in|up)|subscribe|newsletter|privacy policy|terms of (?:use|service)|click here|lorem ipsum")
-SENTENCE_MARK = re.compile(rb"[.!?;:,\"')\]]|\xe2\x80[\x99\x9d\xa6]|\xe3\x80\x82")
+# Phrases in en, de, fr, es; case is ignored, blanks match any blanks. A navigation phrase is a whole line.
+NAVIGATION_PHRASES = (
+    "home", "home page", "menu", "main menu", "search", "next", "previous", "back", "back to top", "skip to content", "skip to main content", "read more", "load more",
+    "show more", "share this", "share on facebook", "share on twitter", "site map", "sitemap", "contact us", "about us", "print this page", "related articles", "view all",
+    "startseite", "hauptmenü", "suche", "weiter", "zurück", "nach oben", "zum inhalt springen", "mehr lesen", "weiterlesen", "mehr anzeigen", "teilen", "kontakt", "über uns", "impressum",
+    "accueil", "menu principal", "recherche", "suivant", "précédent", "retour", "haut de page", "aller au contenu", "lire la suite", "voir plus", "partager", "plan du site", "contactez-nous", "à propos",
+    "inicio", "menú", "menú principal", "buscar", "siguiente", "anterior", "volver", "volver arriba", "ir al contenido", "leer más", "ver más", "compartir", "mapa del sitio", "contacto", "sobre nosotros",
+)
+BOILERPLATE_PHRASES = (
+    "cookie", "cookies", "javascript", "log in", "login", "sign in", "sign up", "subscribe", "newsletter", "privacy policy", "terms of use", "terms of service", "click here", "lorem ipsum", "all rights reserved",
+    "anmelden", "registrieren", "abonnieren", "datenschutz", "datenschutzerklärung", "nutzungsbedingungen", "hier klicken", "alle rechte vorbehalten",
+    "connexion", "se connecter", "s'inscrire", "s'abonner", "politique de confidentialité", "conditions d'utilisation", "cliquez ici", "tous droits réservés", "mentions légales",
+    "iniciar sesión", "registrarse", "suscribirse", "suscríbete", "política de privacidad", "condiciones de uso", "términos de uso", "haga clic aquí", "todos los derechos reservados", "aviso legal",
+)
+END_MARKS = (".", "!", "?", ":", ";", "\u2026", "\u3002", "\uff01", "\uff1f")
+CLOSERS = "\"')]}\u2019\u201d\u00bb"
+
+
+def _any(phrases: tuple[str, ...]) -> str:
+    return "|".join(re.escape(p).replace("\\ ", r"\s+") for p in sorted(phrases, key=len, reverse=True))
+
+
+NAVIGATION = re.compile(rf"(?i)^\W*(?:{_any(NAVIGATION_PHRASES)})\W*$")
+BOILERPLATE = re.compile(rf"(?i)(?<!\w)(?:{_any(BOILERPLATE_PHRASES)})(?!\w)")
 MARKED = re.compile(rb"[#*$%&|<>]")
 
 
@@ -73,9 +96,13 @@ def line_verdict(line: bytes) -> str:
         return "symbols"
     if line.count(b" | ") >= MENU_ITEMS - 1:
         return "navigation"
-    if n <= SHORT_LINE and (NAVIGATION.search(line) or BOILERPLATE.search(line)):
-        return "navigation" if NAVIGATION.search(line) else "boilerplate"
-    if n >= LONG_LINE and not SENTENCE_MARK.search(line):
+    if n <= NOTICE_LINE:
+        t = line.decode()
+        if n <= SHORT_LINE and NAVIGATION.search(t):
+            return "navigation"
+        if BOILERPLATE.search(t):
+            return "boilerplate"
+    if n >= SENTENCE_LINE and not words[-1].decode().rstrip(CLOSERS).endswith(END_MARKS):
         return "punctuation"
     return "ok"
 

@@ -5,7 +5,8 @@ cue word before them. It is trained from a small labelled table, by default one
 templates in ``labelled_table``, by gradient steps on the exact log-likelihood, and decoded
 by Viterbi in numpy batches. A word of letters only with such neighbours on either side
 carries label O whatever stands around it: ``Crf.safe`` proves from the weights that its margin
-exceeds any gain by transitions. Only the stretches around other words are decoded, with the same result.
+exceeds any gain by transitions. Every word's features are looked up; only the stretches around words of other shapes go through
+Viterbi, with the same result, and where the proof fails whole texts do.
 
 Base spans stay; CRF spans that overlap none of them are added. Null or empty text: no spans.
 Every row is answered by itself, so repeated rows, ties and null ids need nothing special;
@@ -18,13 +19,13 @@ import functools
 import hashlib
 import random
 import re
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tamis.llm.common import small_batches, table
+from tamis.llm.common import CACHE_ENTRIES, small_batches, table
 
 KINDS = ("email", "ip", "card", "phone")  # in the order of the digest
 EXTRA = ("secret",)  # further kinds, only found by the CRF
@@ -104,17 +105,14 @@ CUE_OF = {
     **dict.fromkeys(("=", ":", ":=", "=>"), 6),
 }
 WORD = re.compile(r"[^ \t-\r]+")
-# A word that isn't plain carries one of these.
-MARK = re.compile(r"[0-9@=+_/\\]")
-WHITE = " \t\n\x0b\x0c\r"
-SIDE = 3  # words on either side of a marked one that are decoded with it
+SIDE = 3  # words on either side of one that isn't plain that are decoded with it
 
 
 def shape(word: str) -> str:
     """Letters as X and x, digits as 9, runs of one kind shortened, with a mark of the length of long runs."""
     core = word.strip(".,;:!?\"'()[]{}%&$#*|") or word
     out = []
-    for c in core[:256]:
+    for c in core:
         s = "9" if "0" <= c <= "9" else "X" if c.isupper() else "x" if c.isalpha() else c
         if not out or out[-1][0] != s:
             out.append([s, 0])
@@ -127,7 +125,7 @@ def shape(word: str) -> str:
         return kinds if kinds in PLAIN else "xX" if kinds else "x"
     if core.isdigit() and core.isascii():
         return f"9:{min(len(core), 20)}"
-    return "".join(s if n < 4 else s + "+" for s, n in out[:12])
+    return "".join(s if n < 4 else s + "+" for s, n in out)
 
 
 def bucket(name: str) -> int:
@@ -137,14 +135,29 @@ def bucket(name: str) -> int:
 EDGE = BUCKETS - 1  # before the first word and after the last
 
 
-def features(words: list[str]) -> np.ndarray:
+def cue(word: str) -> int:
+    return 6 if word in ("=", ":", ":=", "=>") else CUE_OF.get(word.lower().strip("\"'.,;()"), 0)
+
+
+class Described(dict):
+    """word -> (bucket of its shape, cue) as one number, filled on demand and emptied when full."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= CACHE_ENTRIES:
+            self.clear()
+        value = self[word] = bucket(shape(word)) * len(CUES) + cue(word)
+        return value
+
+
+def features(words: list[str], known: Described | None = None) -> np.ndarray:
     """(words, 4): shape, previous shape, next shape, cue of the two words before."""
-    own = np.array([bucket(shape(w)) for w in words], dtype=np.int32)
-    cue = [CUE_OF.get(w.lower().strip("\"'.,;()"), 0) if w not in ("=", ":", ":=", "=>") else 6 for w in words]
-    near = [0] * len(words)
-    for k in range(1, len(words)):
-        near[k] = cue[k - 2] if cue[k - 1] in (0, 6) and k > 1 and cue[k - 2] not in (0, 6) else cue[k - 1]
-    return np.stack([own, np.append(EDGE, own[:-1]), np.append(own[1:], EDGE), np.array(near, dtype=np.int32)], axis=1).astype(np.int32)
+    known = Described() if known is None else known
+    n = len(words)
+    own, cues = np.divmod(np.fromiter(map(known.__getitem__, words), dtype=np.int32, count=n), len(CUES))
+    near = np.zeros(n, dtype=np.int32)
+    near[1:] = cues[:-1]
+    near[2:] = np.where(np.isin(cues[1:-1], (0, 6)) & ~np.isin(cues[:-2], (0, 6)), cues[:-2], cues[1:-1])
+    return np.stack([own, np.append(EDGE, own[:-1]), np.append(own[1:], EDGE), near], axis=1).astype(np.int32)
 
 
 def labelled_table(n: int = 200, seed: int = 11) -> list[tuple[list[str], list[str]]]:
@@ -268,45 +281,39 @@ def default_crf() -> Crf:
     return train(labelled_table())
 
 
-def stretches(text: str) -> list[list[tuple[int, int]]]:
-    """Word spans around marked words: each with SIDE words on either side, joined where they meet."""
-    out: list[list[tuple[int, int]]] = []
-    done = 0  # end of the last marked word
-    for mark in MARK.finditer(text):
-        if mark.start() < done:
-            continue
-        start = mark.start()
-        while start > 0 and text[start - 1] not in WHITE:
-            start -= 1
-        own = WORD.match(text, start).span()
-        done = own[1]
-        right = [w.span() for w in islice(WORD.finditer(text, done), SIDE)]
-        left, at = [], start
-        while len(left) < SIDE and at > 0:
-            stop = at
-            while stop > 0 and text[stop - 1] in WHITE:
-                stop -= 1
-            at = stop
-            while at > 0 and text[at - 1] not in WHITE:
-                at -= 1
-            if at == stop:
-                break
-            left.append((at, stop))
-        spans = [*reversed(left), own, *right]
-        if out and spans[0][0] <= out[-1][-1][1]:
-            out[-1] += [s for s in spans if s[0] > out[-1][-1][0]]
-        else:
-            out.append(spans)
-    return out
+def crf_from(labelled: DataFrame, most: int = 5_000) -> Crf:
+    """A CRF trained on a small table of the user's own: words array<string>, labels array<string> (of LABELS).
+
+    At most ``most`` rows are taken, in the order of a hash, so that what reaches the driver is bounded.
+    """
+    rows = labelled.select("words", "labels").where("size(words) > 0 and size(words) = size(labels)").orderBy(F.xxhash64("words", "labels")).limit(most).collect()
+    return train([(list(r["words"]), list(r["labels"])) for r in rows])
 
 
-def crf_spans(texts: list[str], crf: Crf) -> list[list[tuple[str, int, int]]]:
+def stretches(f: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of words to decode: each word whose shape isn't plain with SIDE words on either side, joined where they meet."""
+    at = np.flatnonzero(f[:, 0] >= len(PLAIN))
+    if not len(at):
+        return []
+    low, high = np.maximum(at - SIDE, 0), np.minimum(at + SIDE + 1, len(f))
+    new = np.flatnonzero(low[1:] > high[:-1]) + 1
+    return list(zip(low[np.append(0, new)].tolist(), high[np.append(new - 1, len(at) - 1)].tolist(), strict=True))
+
+
+def crf_spans(texts: list[str], crf: Crf, known: Described | None = None) -> list[list[tuple[str, int, int]]]:
     """Spans of the CRF in each text. Stretches of all texts are decoded in batches of like length."""
     found: list[list[tuple[str, int, int]]] = [[] for _ in texts]
+    known = Described() if known is None else known
     todo, safe = [], crf.safe()
     for i, text in enumerate(texts):
-        spans = stretches(text) if safe else [[w.span() for w in WORD.finditer(text)]]
-        todo += [(i, s, features([text[a:b] for a, b in s])) for s in spans if s]
+        spans = [w.span() for w in WORD.finditer(text)]
+        if not spans:
+            continue
+        f = features(WORD.findall(text), known)
+        for a, b in stretches(f) if safe else [(0, len(f))]:
+            x = f[a:b].copy()
+            x[0, 1] = x[-1, 2] = EDGE
+            todo.append((i, spans[a:b], x))
     todo.sort(key=lambda x: len(x[1]))
     at = 0
     while at < len(todo):
@@ -341,11 +348,11 @@ def trimmed(text: str, start: int, stop: int) -> tuple[int, int]:
     return start, stop
 
 
-def all_spans(texts: list[str], crf: Crf) -> list[tuple[list, list]]:
+def all_spans(texts: list[str], crf: Crf, known: Described | None = None) -> list[tuple[list, list]]:
     """(base spans, all spans) of each text; all: by kind as listed, then start."""
     rank = {k: i for i, k in enumerate((*KINDS, *EXTRA))}
     out = []
-    for text, more in zip(texts, crf_spans(texts, crf), strict=True):
+    for text, more in zip(texts, crf_spans(texts, crf, known), strict=True):
         base = base_spans(text)
         taken = sorted((a, b) for _, a, b in base)
         extra, at = [], 0
@@ -373,10 +380,10 @@ def find(docs: DataFrame, crf: Crf | None = None) -> DataFrame:
     joined = lambda spans: ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
     def run(batches):
-        own = Crf(emissions, moves)
+        own, known = Crf(emissions, moves), Described()
         for b in batches:
             rows = []
-            for base, every in all_spans([x or "" for x in b.column(1).to_pylist()], own):
+            for base, every in all_spans([x or "" for x in b.column(1).to_pylist()], own, known):
                 n = [sum(k == kind for k, _, _ in base) for kind in KINDS]
                 rows.append((*n, hashlib.sha256(joined(base).encode()).hexdigest(), joined(every), len(every) - len(base)))
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 7

@@ -57,7 +57,32 @@ def test_stretches_decode_as_whole_texts():
     assert right > 0.9 * gold
 
 
+def test_stretches_decode_as_whole_documents(spark):
+    crf = pii.default_crf()
+    whole = pii.Crf(crf.emissions, crf.moves)
+    whole.safe = lambda: False
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect() if r["text"]]
+    texts += ["password : correct-horse-battery-staple-and-more", "contact us: jean.dupont-at-example.com", "don't | well-known a.b", "x" * 5000 + "-" + "9" * 5000]
+    got = [sorted(x) for x in pii.crf_spans(texts, crf)]
+    assert got == [sorted(x) for x in pii.crf_spans(texts, whole)] and all(got[-4:-2])
+
+
+def test_crf_from_a_table_of_the_users(spark):
+    rows = pii.labelled_table()
+    crf = pii.crf_from(spark.createDataFrame(rows, "words array<string>, labels array<string>"))
+    (_, every), = pii.all_spans(["write to an.re12@timo.example.com today"], crf)
+    assert [k for k, _, _ in every] == ["email"]
+
+
 def test_pii_frame(spark):
+    data = ["mail a.b@x.example.com and c@d.org, 10.0.0.255 é 4539 1488 0343 6467 +1 (234) 555-6789", "no data at all", "1.2.3.4.5.6.7.8 a@b.c"]
+    rows = [(k, text, "en", "s", 1) for k, text in enumerate(data)]
+    for r in pii.find(frame(spark, rows, extra=True)).collect():
+        spans = naive_spans(data[r["doc_id"]])
+        assert [r[f"n_{kind}"] for kind in pii.KINDS] == [sum(k == kind for k, _, _ in spans) for kind in pii.KINDS]
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert set(joined.split(",")) <= set(r["spans"].split(","))
     out = pii.find(frame(spark, extra=True))
     rows = out.collect()
     assert len(rows) == frame(spark).count()
@@ -100,6 +125,54 @@ def test_line_rules(spark):
     assert line_rules.clean(frame(spark)).count() == frame(spark).count()
 
 
+def plain_lost(text):
+    """Words of failing lines, rule by rule, without the operator's patterns."""
+    white, lost = "[^ \t\n\x0b\x0c\r]+", 0
+    for line in text.split("\n"):
+        w = re.findall(white, line)
+        tight = re.sub(r"\s+", " ", line).strip().lower()
+        edge = lambda c: not (c.isalnum() or c == "_")
+        bare = tight
+        while bare and edge(bare[0]):
+            bare = bare[1:]
+        while bare and edge(bare[-1]):
+            bare = bare[:-1]
+        holds = any(tight[k : k + len(p)] == p and (not k or edge(tight[k - 1])) and (k + len(p) == len(tight) or edge(tight[k + len(p)])) for p in line_rules.BOILERPLATE_PHRASES for k in range(len(tight)))
+        end = w[-1] if w else "."
+        while end and end[-1] in line_rules.CLOSERS:
+            end = end[:-1]
+        fails = (
+            (len(w) > 2 and sum(any(c in "#*$%&|<>" for c in x) for x in w) > 0.5 * len(w)) or line.count(" | ") >= 3 or (len(w) <= 8 and bare in line_rules.NAVIGATION_PHRASES)
+            or (len(w) <= 25 and holds) or (len(w) >= 8 and (not end or end[-1] not in line_rules.END_MARKS))
+        )
+        lost += len(w) * fails
+    return lost
+
+
+def test_every_phrase_fires():
+    for p in line_rules.NAVIGATION_PHRASES:
+        assert line_rules.line_verdict(f"» {p.capitalize()}".encode()) == "navigation"
+    for p in line_rules.BOILERPLATE_PHRASES:
+        assert line_rules.line_verdict(f"Some words, {p.upper()} and others.".encode()) in ("boilerplate", "navigation"), p
+    assert line_rules.line_verdict(b"one two three four five six seven eight") == "punctuation"
+    assert line_rules.line_verdict("one two three four five six seven (eight.”)".encode()) == "ok"
+
+
+def test_verdicts_against_a_plain_version(spark):
+    lines = ["Home", "Accueil »", "We use cookies.", "Alle Rechte vorbehalten", "a b c d e f g h", "A sentence of eight words stands right here.", "## ** $$", "a | b | c | d", "x y", "", " \t"]
+    body = " ".join(f"word{k}" for k in range(45)) + "."
+    rows = [(k, "\n".join([lines[(k * 7 + j * j) % len(lines)] for j in range(k % 23)] + [body] * (k % 3 > 0)), "en", "s", 1) for k in range(120)]
+    rows += [(r["doc_id"] + 1000, r["text"], "en", "s", 1) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    verdicts = set()
+    for r in line_rules.clean(frame(spark, rows)).collect():
+        text = dict((k, t) for k, t, *_ in rows)[r["doc_id"]] or ""
+        n, *_, failed = naive_lines(text)
+        lost = plain_lost(text)
+        assert (r["lost_words"], r["kept"]) == (lost, not failed and lost <= 0.5 * n), text
+        verdicts.add((r["kept"], failed))
+    assert len(verdicts) == 3
+
+
 def test_language_id_on_held_out_documents(spark):
     d = language_id.op10_language_id(spark, "/root/testdata/sf0.001")
     truth = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang")
