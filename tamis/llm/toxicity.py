@@ -3,11 +3,13 @@
 1. From a bounded sample of labelled training rows, words and word beginnings that stand far more often in
    toxic than in clean documents are mined; they make up the voters' lexicons.
 2. Voters: a lexicon for each kind of pattern (word, beginnings of 4 to 8 letters) and tier of
-   strength, and text patterns (shouting, exclamation marks). A voter says toxic, clean, or abstains.
+   strength, and text patterns that no label has taught (shouting, exclamation marks, drawn-out letters, one word
+   over and over, address to a reader). A voter says toxic, clean, or abstains.
 3. The label model is a two-class mixture over the votes: EM estimates the classes' mean votes
-   (the voters' accuracies), and the pooled within-class covariance (their correlations), so
-   that voters which echo each other don't count twice. It gives posterior labels.
-4. A logistic regression on lexicon rates learns the posterior labels, and scores every document.
+   (the voters' accuracies, see ``accuracies``), and the pooled within-class covariance (their correlations), so
+   that voters which echo each other don't count twice. It starts from the share of the voters that say toxic and gives
+   posterior labels; the training labels only tell which of the two classes is the toxic one.
+4. A logistic regression on lexicon rates learns these posterior labels alone, and scores every document.
 
 Inputs of a score are the text alone. Rows in the held-out fold teach nothing. Null or empty text
 is scored like any (its rates are 0). Without training rows of both classes every score
@@ -17,21 +19,29 @@ count as the empty string in the split. Columns beyond those named are ignored.
 
 from __future__ import annotations
 
+import collections
+import re
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm.common import CACHE_ENTRIES, fold, small_batches, table
+from tamis.llm.common import CACHE_ENTRIES, fold, small_batches, table, written
 
 # Labelled rows that lexicons, label model and classifier are fitted on, at most; chosen by hash of the id.
 TRAINING_DOCS = 12_000
+# Features of the lexicons, at most: the strongest by their z value.
 FEATURES = 2_000
 LENGTHS = (4, 5, 6, 7, 8)
 LEAST_Z, LEAST_RATIO = 3.0, 3.0
 SMOOTH = 40  # words added to a text's length in rates
 SAYS_TOXIC, SAYS_CLEAN = 1.5, 0.5  # hits in 100 words
+# Text patterns: the least share at which each says toxic; below it, it abstains.
+PATTERNS = {"shout": 0.5, "marks": 0.3, "drawn": 0.05, "again": 0.4, "address": 0.08}
+ADDRESS = frozenset(b"you your yours u ur du dich dir dein deine euch ihr tu te toi ton ta vous votre usted ustedes ti tus tuyo".split())
+DRAWN = re.compile(r"([^\W\d_])\1\1")
 TIERS = 3
 EDGES = b".,;:!?\"'`()[]{}<>%&$#*|_~^+=/\\-"
 
@@ -112,8 +122,17 @@ def mined(rows: DataFrame, most: int = FEATURES) -> list[str]:
     return [r["feature"] for r in strong.orderBy(F.desc("z"), "feature").limit(most).collect()]
 
 
+def patterns_of(text: bytes, words: list[bytes]) -> tuple[float, ...]:
+    """The shares that the text patterns look at, in the order of PATTERNS."""
+    s, n = text.decode(), len(words) + 1
+    letters = sum(map(str.isalpha, s)) or 1
+    folded = [w.strip(EDGES).lower() for w in words]
+    again = max(collections.Counter(folded).values(), default=0) / n
+    return sum(map(str.isupper, s)) / letters, s.count("!") / n, sum(1 for _ in DRAWN.finditer(s)) / n, again, sum(w in ADDRESS for w in folded) / n
+
+
 def observed(rows: DataFrame, features: list[str]) -> pd.DataFrame:
-    """Of each training row: toxic, n (words), shout and marks (shares), ids and counts of its features."""
+    """Of each training row: toxic, n (words), the shares of PATTERNS, ids and counts of its features."""
     number = {f: k for k, f in enumerate(features)}
 
     def run(batches):
@@ -126,14 +145,13 @@ def observed(rows: DataFrame, features: list[str]) -> pd.DataFrame:
                 for ids in filter(None, map(known.__getitem__, words)):
                     for k in ids:
                         hits[k] = hits.get(k, 0) + 1
-                s = (text or b"").decode()
-                letters = sum(map(str.isalpha, s)) or 1
-                out.append((int(toxic > 0), len(words), sum(map(str.isupper, s)) / letters, s.count("!") / (len(words) + 1), list(hits), list(hits.values())))
-            cols = list(zip(*out, strict=True)) if out else [[]] * 6
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, kinds, strict=True)], names=["toxic", "n", "shout", "marks", "ids", "counts"])
+                out.append((int(toxic > 0), len(words), *patterns_of(text or b"", words), list(hits), list(hits.values())))
+            cols = list(zip(*out, strict=True)) if out else [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, kinds.values(), strict=True)], names=list(kinds))
 
-    return rows.select("text", "toxic").mapInArrow(run, "toxic long, n long, shout double, marks double, ids array<int>, counts array<int>").toPandas()
+    kinds = {"toxic": pa.int64(), "n": pa.int64(), **dict.fromkeys(PATTERNS, pa.float64()), "ids": pa.list_(pa.int32()), "counts": pa.list_(pa.int32())}
+    shares = ", ".join(f"{name} double" for name in PATTERNS)
+    return rows.select("text", "toxic").mapInArrow(run, f"toxic long, n long, {shares}, ids array<int>, counts array<int>").toPandas()
 
 
 def voters_of(features: list[str]) -> np.ndarray:
@@ -156,10 +174,28 @@ def votes(seen: pd.DataFrame, features: list[str]) -> np.ndarray:
         np.add.at(hits[r], voter[np.asarray(ids, dtype=int)], np.asarray(counts, dtype=float))
     rate = 100 * hits / (seen["n"].to_numpy()[:, None] + SMOOTH)
     lexical = np.where(rate >= SAYS_TOXIC, 1.0, np.where(rate < SAYS_CLEAN, -1.0, 0.0))
-    patterns = np.stack([np.where(seen["shout"] > 0.5, 1.0, 0.0), np.where(seen["marks"] > 0.3, 1.0, 0.0)], axis=1)
+    patterns = np.stack([np.where(seen[name] > least, 1.0, 0.0) for name, least in PATTERNS.items()], axis=1)
     return np.concatenate([lexical, patterns], axis=1)
 
 
+def vote_prior(v: np.ndarray) -> np.ndarray:
+    """Share of the voters that say toxic among those that vote, drawn a little to the middle."""
+    toxic, cast = (v > 0).sum(axis=1), (v != 0).sum(axis=1)
+    return (toxic + 0.5) / (cast + 1.0)
+
+
+def named(q: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """q, or 1 - q where the mixture's second class goes with the training labels."""
+    return 1 - q if np.cov(q, y)[0, 1] < 0 else q
+
+
+def accuracies(v: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Of each voter the share of its votes that the posterior q bears out; 0.5 where it never votes."""
+    cast = np.abs(v).sum(axis=0)
+    right = (np.where(v > 0, q[:, None], 0) + np.where(v < 0, 1 - q[:, None], 0)).sum(axis=0)
+    return np.where(cast > 0, right / np.maximum(cast, 1), 0.5)
+
+
 def posterior(v: np.ndarray, start: np.ndarray, rounds: int = 20) -> np.ndarray:
     """Posterior of class toxic from votes v, by EM from starting beliefs: class means and a pooled covariance."""
     q = start.astype(float)
@@ -196,17 +232,14 @@ def logistic(seen: pd.DataFrame, n_features: int, target: np.ndarray, steps: int
 def fitted(docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCS) -> tuple[dict[str, float], float] | None:
     """docs: doc_id, text; labels: doc_id, toxic. Weight of each feature, and the bias; None without rows of both classes."""
     small_batches(docs.sparkSession)
-    rows = training_rows(docs, labels, most)
+    rows = written(training_rows(docs, labels, most), "toxicity-sample")  # read more than once below
     features = mined(rows)
     if not features:
         return None
     seen = observed(rows, features)
     v = votes(seen, features)
-    y = seen["toxic"].to_numpy(dtype=float)
-    # EM starts from the training labels softened, so that classes keep their names.
-    q = posterior(v, 0.1 + 0.8 * y)
-    # A third of the belief stays with the label itself.
-    w, b = logistic(seen, len(features), (2 * q + y) / 3)
+    q = named(posterior(v, vote_prior(v)), seen["toxic"].to_numpy(dtype=float))
+    w, b = logistic(seen, len(features), q)
     return {f: float(x) for f, x in zip(features, w, strict=True) if x}, b
 
 

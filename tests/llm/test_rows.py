@@ -324,6 +324,43 @@ def test_label_model_discounts_echoes():
     assert ((q > 0.5) == y).mean() > max(0.85, majority.mean())
 
 
+def test_label_model_needs_no_labels_but_for_the_names():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    y = rng.random(6000) < 0.3
+    true = (0.9, 0.85, 0.8, 0.75, 0.7, 0.4)  # the last voter is worse than chance
+    v = np.stack([np.where(rng.random(6000) < a, y, ~y) * 2.0 - 1 for a in true], axis=1)
+    v[rng.random(v.shape) < 0.2] = 0
+    q = toxicity.posterior(v, toxicity.vote_prior(v))
+    assert ((q > 0.5) == y).mean() > 0.9
+    assert np.abs(toxicity.accuracies(v, q) - true).max() < 0.06
+    # Brute force: the same mixture, row by row, from the fixed point's own moments.
+    w1, w0 = q.sum(), (1 - q).sum()
+    m1, m0 = sum(a * x for a, x in zip(q, v, strict=True)) / w1, sum((1 - a) * x for a, x in zip(q, v, strict=True)) / w0
+    cov = sum(a * np.outer(x - m1, x - m1) + (1 - a) * np.outer(x - m0, x - m0) for a, x in zip(q, v, strict=True)) / len(v)
+    cov = 0.7 * cov + np.eye(6) * (0.3 * np.trace(cov) / 6 + 0.05)
+    inverse = np.linalg.inv(cov)
+    odds = [np.log(w1 / w0) + (x - m0) @ inverse @ (x - m0) / 2 - (x - m1) @ inverse @ (x - m1) / 2 for x in v[:300]]
+    assert np.abs(1 / (1 + np.exp(-np.array(odds))) - q[:300]).max() < 0.02
+    assert (toxicity.named(q, (~y).astype(float)) == 1 - q).all()
+
+
+def test_toxicity_scores_against_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    weight, bias = {"w:the": 0.3, "4:ther": -0.2, "5:there": 0.7, "w:éa": 1.0}, -0.4
+    text = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    for r in toxicity.scored(docs.selectExpr("*", "false as held_out"), (weight, bias)).collect():
+        words = re.findall("[^ \t\n\x0b\x0c\r]+", text[r["doc_id"]])
+        z = 0.0
+        for w in words:
+            w = w.strip(toxicity.EDGES.decode()).lower()
+            z += sum(weight.get(f, 0.0) for f in {f"w:{w}", *(f"{k}:{w[:k]}" for k in range(4, 9) if len(w) >= k)})
+        z = bias + 100 * z / (len(words) + toxicity.SMOOTH)
+        assert r["score"] == pytest.approx(1 / (1 + 2.718281828459045**-z)) and r["predicted"] == (z >= 0)
+
+
 @pytest.mark.parametrize("schema", [DOCS])
 def test_schema_is_that_of_documents(spark, schema):
     assert frame(spark).columns == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").columns
