@@ -12,8 +12,9 @@ packs them into shards of about ``SHARD_IDS`` ids. A shard is one binary value:
 The hash (hash and displace) sends each document key to a slot of its own among n; the
 slot's fingerprint tells keys of other documents, the offset and length give the ids. So
 one key costs two hashes, one displacement and one slot, whatever the shard's size. A key is the id and, for
-an id that comes more than once, its ordinal. Shards are rows of a Parquet table in the shared folder, as every file system
-that Spark writes to can hold them.
+an id that comes more than once in a shard, its ordinal there. Shards are rows of a Parquet table in the shared folder, as every file
+system that Spark writes to can hold them; the table's columns first_key and last_key tell the shard of a key (``get``), so that
+only the row groups that can hold it are read.
 
 Null text: no ids but the end id. Null ids come first, as key ``NULL_KEY``. Repeated rows
 each keep their ids; among equal doc_ids the order is that of the text's hash, then of its length. An empty table gives no shard. A
@@ -22,6 +23,8 @@ document longer than a shard has a shard to itself. Columns beyond doc_id and te
 
 from __future__ import annotations
 
+import functools
+import operator
 import re
 import struct
 import uuid
@@ -217,7 +220,7 @@ class Shard:
 
 
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_ids: int = SHARD_IDS) -> None:
-    """docs: doc_id, text. Writes rows (part, shard, first_key, n_docs, n_ids, data) to a Parquet table at path."""
+    """docs: doc_id, text. Writes rows (part, shard, first_key, last_key, n_docs, n_ids, data) to a Parquet table at path."""
     small_batches(docs.sparkSession)
     tokenizer = tokenizer or default_tokenizer()
     tie = F.struct(F.xxhash64("text"), F.length("text"))
@@ -233,7 +236,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_ids: i
 
         def out():
             data = pack(keys, ordinals, payloads)
-            return pa.RecordBatch.from_arrays([pa.array([x], type=t) for x, t in ((part, pa.int64()), (shard, pa.int64()), (keys[0], pa.int64()), (len(keys), pa.int64()), (size, pa.int64()), (data, pa.binary()))], names=["part", "shard", "first_key", "n_docs", "n_ids", "data"])
+            return pa.RecordBatch.from_arrays([pa.array([x], type=t) for x, t in ((part, pa.int64()), (shard, pa.int64()), (keys[0], pa.int64()), (keys[-1], pa.int64()), (len(keys), pa.int64()), (size, pa.int64()), (data, pa.binary()))], names=["part", "shard", "first_key", "last_key", "n_docs", "n_ids", "data"])
 
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.large_binary()).to_pylist(), strict=True):
@@ -243,7 +246,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_ids: i
                 ids = encoder.encode(text or b"") + end
                 if payloads and (size + len(ids) // 4 > shard_ids or len(keys) == SHARD_DOCS):
                     yield out()
-                    keys, ordinals, payloads, size, shard = [], [], [], 0, shard + 1
+                    keys, ordinals, payloads, size, shard, ordinal = [], [], [], 0, shard + 1, 0
                 keys.append(key)
                 ordinals.append(ordinal)
                 payloads.append(ids)
@@ -251,7 +254,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_ids: i
         if payloads:
             yield out()
 
-    dealt.mapInArrow(run, "part long, shard long, first_key long, n_docs long, n_ids long, data binary").write.parquet(path)
+    dealt.mapInArrow(run, "part long, shard long, first_key long, last_key long, n_docs long, n_ids long, data binary").write.parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -282,6 +285,31 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return docs.join(starts, ["part", "shard"]).select("doc_id", (F.col("base") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def get(spark: SparkSession, path: str, keys: list[int | None]) -> DataFrame:
+    """The rows of some documents, by key: doc_id, ids. An id that the shards don't hold gives no row; one that comes more than once gives as many.
+
+    Meant for a handful of keys: they stand in the filter that prunes the shards.
+    """
+    wanted = sorted({NULL_KEY if k is None else int(k) for k in keys})
+    low, high = F.col("first_key"), F.col("last_key")
+    near = [(low <= k) & (high >= k) for k in wanted]
+    shards = spark.read.parquet(path).where(functools.reduce(operator.or_, near, F.lit(False))).select("first_key", "last_key", "data")
+
+    def run(batches):
+        for b in batches:
+            found: list[tuple[int | None, list[int]]] = []
+            for first, last, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                s = Shard(data.as_py())
+                for key in wanted:
+                    ordinal = 0
+                    while first <= key <= last and (ids := s.get(key, ordinal)) is not None:
+                        found.append((None if key == NULL_KEY else key, ids.tolist()))
+                        ordinal += 1
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], type=pa.int64()), pa.array([i for _, i in found], type=pa.list_(pa.int64()))], names=["doc_id", "ids"])
+
+    return shards.mapInArrow(run, "doc_id long, ids array<long>")
+
+
 def encoded(docs: DataFrame) -> DataFrame:
     """Writes docs as shards in the shared folder and reads them back."""
     spark = docs.sparkSession

@@ -201,6 +201,30 @@ def test_token_shards_round_trip(spark, tmp_path, shard_ids):
     assert (spark.read.parquet(path).count() > 3) == (shard_ids == 60) or shard_ids != 60
 
 
+@pytest.mark.parametrize("shard_ids", [token_ids.SHARD_IDS, 60])
+def test_documents_are_found_by_key(spark, tmp_path, shard_ids):
+    from tokenizers import Tokenizer
+
+    rows = awkward_rows() + [(7, f"text number {k} of one id", "en", "s", 1) for k in range(30)]
+    path = str(tmp_path / "shards")
+    token_ids.write(frame(spark, rows), path, shard_ids=shard_ids)
+    t = Tokenizer.from_file(token_ids.default_tokenizer())
+    keys = [7, 53, 50, None, 4, 999_999, -5]
+    got = collections.Counter((r["doc_id"], tuple(r["ids"])) for r in token_ids.get(spark, path, keys).collect())
+    assert got == collections.Counter((r[0], (*t.encode(r[1] or "", add_special_tokens=False).ids, 1)) for r in rows if r[0] in keys)
+    assert token_ids.get(spark, path, []).count() == 0
+
+
+def test_pieces_are_those_of_the_tokenizer():
+    encoder = token_ids.Encoder(token_ids.default_tokenizer())
+    assert encoder.simple
+    rng = np.random.default_rng(7)
+    letters = list("abcXYZ019 \t\n.,'!-_<|>#@éÉßñöÀÿ×÷") + ["'s", "'LL", "n't", "<|", "|>", "日", "ﬁ", "\x1c", "\u00a0"]
+    for _ in range(4000):
+        text = "".join(rng.choice(letters, int(rng.integers(0, 40))))
+        assert encoder.encode(text.encode()) == encoder._packed(encoder.tokenizer.encode(text, add_special_tokens=False).ids), text
+
+
 def test_no_documents_no_shards(spark):
     assert token_ids.encoded(frame(spark, [])).count() == 0
 
