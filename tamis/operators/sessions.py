@@ -80,9 +80,36 @@ def question_view(messages: Column) -> Column:
     return F.filter(messages, real_user)
 
 
+def answer_view(messages: Column) -> Column:
+    """Without tool messages and users' messages of tool results only; tool uses go from assistants' contents."""
+    kept = F.filter(messages, lambda m: (m["role"] != "tool") & ~((m["role"] == "user") & ~real_user(m)))
+    own = lambda m: F.try_variant_get(F.try_parse_json(m["content"]), "$", "array<variant>")
+    is_use = lambda b: F.coalesce(F.try_variant_get(b, "$.type", "string") == "tool_use", F.lit(False))
+    cleared = lambda m: F.struct(m["role"].alias("role"), F.to_json(F.filter(own(m), lambda b: ~is_use(b))).alias("content"))
+    return F.transform(kept, lambda m: F.when((m["role"] == "assistant") & uses_tool(m), cleared(m)).otherwise(F.struct(m["role"].alias("role"), m["content"].alias("content"))))
+
+
 def records(sessions: DataFrame) -> DataFrame:
-    """messages -> up to two rows: the question view (if not empty), and the session under its category (unless that is question)."""
+    """messages -> up to two rows: the question view (if not empty), and the session under its category (unless that is question).
+
+    Plain question-answer sessions come as their answer view.
+    """
     cat = nested_category(F.col("messages"))
     q = F.when(F.size(question_view(F.col("messages"))) > 0, F.struct(F.lit("question").alias("category"), question_view(F.col("messages")).alias("messages")))
-    s = F.when(cat != "question", F.struct(cat.alias("category"), F.col("messages")))
+    s = F.when(cat != "question", F.struct(cat.alias("category"), F.when(cat == "question-answer", answer_view(F.col("messages"))).otherwise(F.col("messages")).alias("messages")))
     return sessions.withColumn("r", F.explode(F.array_compact(F.array(q, s)))).select(*[c for c in sessions.columns if c != "messages"], "r.category", "r.messages")
+
+
+def asks(content: Column) -> Column:
+    """The statistics' own rule of a real question: not a blank text, not an empty list, not tool results only."""
+    blank = F.when(F.startswith(content, F.lit('"')), F.trim(F.get_json_object(F.concat(F.lit('{"v":'), content, F.lit("}")), "$.v")) == "").otherwise(F.size(blocks(content)) == 0)
+    results = (F.size(blocks(content)) > 0) & F.forall(blocks(content), lambda b: F.coalesce(b["type"] == "tool_result", F.lit(False)))
+    return ~blank & ~results
+
+
+def content_chars(content: Column) -> Column:
+    """Characters of a content: its text, or of each block its text, its content, or its input as JSON."""
+    of = lambda b: F.coalesce(*[F.try_variant_get(b, f"$.{k}", "string") for k in ("text", "thinking", "content", "input")], F.lit(""))
+    v = F.try_parse_json(content)
+    listed = F.try_variant_get(v, "$", "array<variant>")
+    return F.when(listed.isNotNull(), F.aggregate(listed, F.lit(0), lambda a, b: a + F.length(of(b)))).otherwise(F.length(F.coalesce(F.try_variant_get(v, "$", "string"), F.lit(""))))

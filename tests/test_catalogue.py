@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from tamis.plans import catalogue
+from tamis.plans import registry
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -26,10 +26,10 @@ def rows(columns, tuples):
     return sorted(tuple(map(plain, (t[k] for k in order))) for t in tuples)
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_its_sql(spark, con, name):
-    df = catalogue.QUERIES[name](spark, DATA)
-    cursor = con.execute(catalogue.ORACLE_SQL[name])
+    df = registry.QUERIES[name](spark, DATA)
+    cursor = con.execute(registry.ORACLE_SQL[name])
     columns = [c[0] for c in cursor.description]
     assert sorted(columns) == sorted(df.columns)
     assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(columns, cursor.fetchall())
