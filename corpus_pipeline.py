@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept. The first four return
 the columns of documents; the last writes token shards and returns what it reads back from them.
+
+Every stage takes rows with nulls in any column, blank and very long texts, ties, repeated rows, tables without rows, and
+further columns of any name, which go through the first four. A null or blank text is scored like any other by toxicity, is a
+copy of nothing, holds no test item, has size 0 in the mix (so none, one or two copies of no words), and becomes the end id alone.
+Repeated rows are near copies of each other: one stays. Null ids come last where an id decides, null sources are one source.
 """
 
 from __future__ import annotations
@@ -57,7 +62,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    folder = f"{scratch_folder(spark)}/tamis/pipeline-{uuid.uuid4().hex}"
+    folder = f"{scratch_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")

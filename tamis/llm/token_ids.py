@@ -313,7 +313,7 @@ def get(spark: SparkSession, path: str, keys: list[int | None]) -> DataFrame:
 def encoded(docs: DataFrame) -> DataFrame:
     """Writes docs as shards in the shared folder and reads them back."""
     spark = docs.sparkSession
-    path = f"{scratch_folder(spark)}/tamis/token-shards-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/token-shards-{uuid.uuid4().hex}"
     write(docs, path)
     return read(spark, path)
 

@@ -410,6 +410,45 @@ def test_pipeline_stages_take_effect(spark):
     assert set(mixed) <= set(rows)
 
 
+@pytest.mark.parametrize("stage", range(4))
+def test_stages_take_awkward_rows(spark, stage):
+    import corpus_pipeline
+
+    name, run = corpus_pipeline.STAGES[stage]
+    rows, docs = awkward_rows(), frame(spark, extra=True)
+    out = run(spark, docs, SF)
+    assert out.columns == docs.columns, name
+    got = collections.Counter(tuple(r)[:5] for r in out.collect())
+    assert set(got) <= set(rows), name
+    if name == "toxicity":  # labels of other documents: rows go or stay by their text
+        assert {r[1] for r in got}.isdisjoint({r[1] for r in rows if r not in got})
+    if name == "near_duplicates":
+        sets = brute_components(texts_of(rows))
+        assert sum(got.values()) == len({c for _, n, c in sets if n}) + sum(n == 0 for _, n, _ in sets)
+    if name == "decontamination":
+        assert got == collections.Counter(rows)
+    if name == "mixing":
+        assert all(n <= 2 * rows.count(r) for r, n in got.items())
+    empty = run(spark, frame(spark, [], extra=True), SF)
+    assert empty.columns == docs.columns and empty.count() == 0, name
+
+
+def test_pipeline_of_awkward_and_of_no_rows(spark, tmp_path):
+    import shutil
+
+    import corpus_pipeline
+
+    for name, rows in (("some", awkward_rows()), ("none", [])):
+        folder = tmp_path / name
+        folder.mkdir()
+        for t in ("labels", "benchmark"):
+            shutil.copy(f"{SF}/{t}.parquet", folder)
+        frame(spark, rows, extra=True).coalesce(1).write.parquet(str(folder / "documents.parquet"))
+        out = corpus_pipeline.run(spark, str(folder)).orderBy("start").collect()
+        assert (len(out) > 0) == (name == "some")
+        assert [r["start"] for r in out] == [sum(x["n_tokens"] for x in out[:k]) for k in range(len(out))]
+
+
 def test_words_helper():
     import random
 
