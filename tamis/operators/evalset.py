@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tamis.functions.text import final_answer, null_empty, reasoning, stable_key, strip
+from tamis.scratch import written
 
 EVAL_SPLITS = ("test", "testmini", "validation", "val", "dev", "unspecified")
 DEFAULT_CAP = 2000
@@ -43,18 +47,24 @@ def cleaned(records: DataFrame) -> DataFrame:
 
 
 def first_of_each(df: DataFrame, key: list[Column], order: list) -> DataFrame:
-    """The first row of each key."""
-    return df.withColumn("__n", F.row_number().over(W.partitionBy(*key).orderBy(*order))).where("__n = 1").drop("__n")
+    """The first row of each key, by partial results: a key that many rows share is no task of its own."""
+    first = F.min_by(F.struct("*"), F.struct(*order)).alias("__r")
+    return df.groupBy(*[k.alias(f"__k{i}") for i, k in enumerate(key)]).agg(first).select("__r.*")
 
 
 def stratified(df: DataFrame, group: str, strata: list[str], key: Column, order: str, cap: int, rank: Column | None = None) -> DataFrame:
     """Up to cap rows a group, dealt round robin over its strata (largest first), in the order of a stable key.
 
-    A smaller cap picks a prefix of what a larger cap picks.
+    A smaller cap picks a prefix of what a larger cap picks. Strata are counted by partial sums, and each is cut to the cap
+    before and after the shuffle (a window's group limit), so a stratum of any size sends few rows to its task.
     """
-    s = W.partitionBy(group, *strata)
-    d = df.withColumn("i", F.row_number().over(s.orderBy(*([rank] if rank is not None else []), key, order)))
-    d = d.withColumns({"stratum_n": F.count(F.lit(1)).over(s), "stratum_first": F.min(order).over(s)})
+    names = [group, *strata]
+    counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("stratum_n"), F.min(order).alias("stratum_first"))
+    counted = counted.select(*[F.col(n).alias(f"__{i}") for i, n in enumerate(names)], "stratum_n", "stratum_first")
+    i = F.row_number().over(W.partitionBy(*names).orderBy(*([rank] if rank is not None else []), key, order))
+    d = df.withColumn("i", i).where(F.col("i") <= cap)
+    same = [F.col(n).eqNullSafe(F.col(f"__{k}")) for k, n in enumerate(names)]
+    d = d.join(counted, reduce(and_, same)).drop(*[f"__{k}" for k in range(len(names))])
     pick = F.row_number().over(W.partitionBy(group).orderBy("i", F.desc("stratum_n"), "stratum_first"))
     return d.withColumn("pick", pick).where(F.col("pick") <= cap)
 
@@ -65,16 +75,47 @@ def capped(df: DataFrame, source: str, caps: dict[str, int], default: int) -> Da
     return df.where(F.col("pick") <= max([default, *caps.values()])).where(F.col("pick") <= cap)
 
 
+def numbered(df: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """Adds n: each row's place in its group from 0. Rows are range-partitioned, so that one group can span many tasks."""
+    sort = [F.col(group).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in order]]
+    placed = df.repartitionByRange(*sort).sortWithinPartitions(*sort).withColumns({"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id()})
+    placed = written(placed, "numbered")  # parts and places must be the same below
+    runs = placed.groupBy("__part", group).agg(F.min("__at").alias("__low"), F.count(F.lit(1)).alias("__n"))
+    before = F.coalesce(F.sum("__n").over(W.partitionBy(group).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # a row for each part
+    runs = runs.select(F.col("__part").alias("__p"), F.col(group).alias("__g"), "__low", before.alias("__before"))
+    joined = placed.join(runs, (F.col("__part") == F.col("__p")) & F.col(group).eqNullSafe(F.col("__g")))
+    return joined.withColumn("n", F.col("__at") - F.col("__low") + F.col("__before")).select(*df.columns, "n")
+
+
 def seq_ids(df: DataFrame, dataset: str, order: list[str], digits: int = 6) -> DataFrame:
-    n = F.row_number().over(W.partitionBy(dataset).orderBy(*order)) - 1
-    return df.withColumn("id", F.concat(F.col(dataset), F.lit("-"), F.lpad(n.cast("string"), digits, "0")))
+    d = numbered(df, dataset, order)
+    return d.withColumn("id", F.concat(F.col(dataset), F.lit("-"), F.lpad(F.col("n").cast("string"), digits, "0"))).drop("n")
 
 
 def quota_sample(df: DataFrame, lang: str, source: str, key: Column, order: str, quota: int) -> DataFrame:
     """Up to quota rows a language, dealt round robin over its sources in the order of a stable key."""
-    d = df.withColumn("i", F.row_number().over(W.partitionBy(lang, source).orderBy(key, order)))
+    d = df.withColumn("i", F.row_number().over(W.partitionBy(lang, source).orderBy(key, order))).where(F.col("i") <= quota)
     return d.withColumn("pick", F.row_number().over(W.partitionBy(lang).orderBy("i", source))).where(F.col("pick") <= quota)
 
 
+def language_quotas(df: DataFrame, lang: str, total: int) -> DataFrame:
+    """lang, n, quota: an equal share of total, at most n; what is left goes round by one, the largest language first, to those with room.
+
+    After k rounds a language has min(n, base + k) rows; the rounds that are whole are found on sums, the last is dealt by rank.
+    """
+    sizes = df.groupBy(lang).agg(F.count(F.lit(1)).alias("n"))  # a row for each language
+    everything, by_size = W.partitionBy(), W.orderBy(F.desc("n"), lang)
+    rising = W.orderBy("n", lang)
+    below = F.coalesce(F.sum("n").over(rising.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    above = F.count(F.lit(1)).over(rising.rowsBetween(W.currentRow, W.unboundedFollowing))
+    level = F.floor((F.lit(total) - below) / above)  # rows each if the smaller ones are full; the greatest of these is where it stands
+    ranked = sizes.withColumn("__level", level).withColumn("__whole", F.max("__level").over(everything))
+    ranked = ranked.withColumn("quota", F.least("n", "__whole"))
+    left = F.lit(total) - F.sum("quota").over(everything)
+    open_ = (F.col("n") > F.col("quota")).cast("int")
+    turn = F.sum(open_).over(by_size.rowsBetween(W.unboundedPreceding, W.currentRow))
+    return ranked.withColumn("quota", F.col("quota") + F.when((open_ == 1) & (turn <= left), 1).otherwise(0)).select(lang, "n", F.col("quota").cast("long").alias("quota"))
+
+
 def sample_key(seed: int, source: str, row_id: str) -> Column:
     return stable_key(F.lit(seed), F.col(source), F.col(row_id))

@@ -109,7 +109,7 @@ def asks(content: Column) -> Column:
 
 def content_chars(content: Column) -> Column:
     """Characters of a content: its text, or of each block its text, its content, or its input as JSON."""
-    of = lambda b: F.coalesce(*[F.try_variant_get(b, f"$.{k}", "string") for k in ("text", "thinking", "content", "input")], F.lit(""))
+    of = lambda b: F.coalesce(*[F.try_variant_get(b, path, "string") for path in ("$.text", "$.content", "$.input")], F.when(F.schema_of_variant(b) == "STRING", F.try_variant_get(b, "$", "string")), F.lit(""))
     v = F.try_parse_json(content)
     listed = F.try_variant_get(v, "$", "array<variant>")
     return F.when(listed.isNotNull(), F.aggregate(listed, F.lit(0), lambda a, b: a + F.length(of(b)))).otherwise(F.length(F.coalesce(F.try_variant_get(v, "$", "string"), F.lit(""))))

@@ -294,6 +294,18 @@ def bench_overlap(d, b):
     return keyed.join(_item_keys(b), "key", "left_semi").select("doc_id")
 
 
+LINE_NORM = NORM.replace("coalesce(text, '')", "line")
+
+
+@query(f"""with i as (select distinct {LINE_NORM} as k from (select unnest(string_split(text, chr(10))) as line from benchmark) where length(line) > 30),
+  l as (select doc_id, {LINE_NORM} as k from (select doc_id, unnest(string_split(text, chr(10))) as line from documents) where length(line) > 30)
+  select doc_id, count(*) as lines from l where k in (select k from i) group by doc_id""", "documents", "benchmark")
+def bench_line_overlap(d, b):
+    key = F.md5(T.norm_question(F.col("line"))).alias("key")
+    lines = lambda x, *keep: x.select(*keep, F.explode(F.split("text", "\n")).alias("line")).where(F.length("line") > 30).select(*keep, key)
+    return lines(d, "doc_id").join(lines(b).distinct(), "key", "left_semi").groupBy("doc_id").agg(F.count(F.lit(1)).alias("lines"))
+
+
 @query(f"select lang, count(*) as n from documents where md5({NORM}) not in (select md5({NORM}) from benchmark) group by lang", "documents", "benchmark")
 def bench_isolated(d, b):
     keyed = d.select("lang", F.md5(T.norm_question(F.col("text"))).alias("key"))
@@ -320,6 +332,12 @@ def filter_regex(d):
     return filters.where(d, "text ~ 'license|License'", "lang != en").select("doc_id")
 
 
+@query("select event_id from events where event_id % 3 = 0 and event_id % 5 <> 0", "events")
+def filter_partly_missing(e):
+    present = e.select("event_id", F.to_json(F.struct(F.when(F.col("event_id") % 3 == 0, F.col("event_id") % 5).alias("m"))).alias("j"))
+    return filters.where(present, "m != 0", json_column="j").select("event_id")
+
+
 @query("select doc_id from documents where length(text) > 5000", "documents")
 def filter_length(d):
     return filters.where(d, "len(text) > 5000").select("doc_id")
@@ -355,10 +373,10 @@ def sample_percent(e):
     return filters.sample_share(e, 10, 7, "event_id").select("event_id")
 
 
-@query(f"""with u as (select * from documents where doc_id % 2 = 0 union all select * from documents where doc_id % 3 = 0)
-  select lang, min(doc_id) as doc_id from u group by lang, md5({NORM})""", "documents")
-def union_dedupe(d):
-    u = d.where("doc_id % 2 = 0").unionByName(d.where("doc_id % 3 = 0"))
+@query(f"""with u as (select lang, doc_id, text from documents union all select cast(null as varchar), item_id, text from benchmark)
+  select lang, min(doc_id) as doc_id from u group by lang, md5({NORM})""", "documents", "benchmark")
+def union_dedupe(d, b):
+    u = d.select("lang", "doc_id", "text").unionByName(b.select(F.lit(None).cast("string").alias("lang"), F.col("item_id").alias("doc_id"), "text"))
     return u.groupBy("lang", F.md5(T.norm_question(F.col("text"))).alias("key")).agg(F.min("doc_id").alias("doc_id")).drop("key")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 RECORD = (
@@ -23,14 +24,108 @@ def json_lines(spark: SparkSession, path: str, schema: str, bad_rows: str = "cou
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Physical lines of each file with their numbers from 1: file, line, value. A file is read by one task."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    body = F.regexp_replace("value", r"\r?\n\z", "")
-    return whole.select("file", F.posexplode(F.split(body, r"\r?\n")).alias("at", "value")).select("file", (F.col("at") + 1).alias("line"), "value")
+    """Physical lines of each file with their numbers from 1: file, line, value. Large files are read by many tasks.
+
+    A task reads a block of a file in order, so a line's number is its place in the block after the lines of earlier blocks.
+    """
+    meta = F.col("_metadata")
+    lines = spark.read.text(path).select(meta["file_path"].alias("file"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    blocks = lines.groupBy("file", "block").agg(F.min("at").alias("low"), F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # a row for each block
+    return lines.join(blocks.withColumn("before", before), ["file", "block"]).select("file", (F.col("at") - F.col("low") + F.col("before") + 1).alias("line"), "value")
+
+
+def count_lines(spark: SparkSession, path: str) -> int:
+    """Physical lines of a file; 0 where there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return spark.read.text(path).count() if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target) else 0
+
+
+def raw_lines(spark: SparkSession, path: str, root: str = "") -> DataFrame:
+    """JSON lines as raw rows: file (below root), at (line from 0), row (VARIANT; null where a line is no JSON). Blank lines go."""
+    d = numbered_lines(spark, path).where(F.trim("value") != "")
+    return d.select(_below("file", root).alias("file"), (F.col("line") - 1).alias("at"), F.try_parse_json("value").alias("row"))
+
+
+def _below(column, root: str):
+    c = F.col(column) if isinstance(column, str) else column
+    return F.substring_index(c, root.rstrip("/") + "/", -1) if root else c
+
+
+def raw_array(spark: SparkSession, path: str, root: str = "", keys: tuple[str, ...] = ("example", "examples", "test", "data", "questions")) -> DataFrame:
+    """Elements of a JSON array as raw rows: file, at, row, top (the outer object, if there is one).
+
+    The array is the file itself, the one under the first of keys that holds one, or the first list of the object. A file is one
+    value of a task, so it must stay below 2 GB.
+    """
+    v = F.try_parse_json("value")
+    is_list = lambda c: F.coalesce(F.startswith(F.schema_of_variant(c), F.lit("ARRAY")), F.lit(False))
+    named = [F.when(is_list(F.try_variant_get(v, f"$.{k}", "variant")), F.try_variant_get(v, f"$.{k}", "array<variant>")) for k in keys]
+    text_order = F.json_object_keys("value")  # keys as they stand in the text
+    values = v.cast("map<string,variant>")
+    first = F.try_element_at(F.filter(F.transform(text_order, lambda k: F.try_element_at(values, k)), is_list), F.lit(1))
+    body = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), *named, F.try_variant_get(first, "$", "array<variant>"))
+    whole = spark.read.text(path, wholetext=True).select(_below(F.col("_metadata.file_path"), root).alias("file"), v.alias("top"), body.alias("body"))
+    return whole.select("file", "top", F.posexplode("body").alias("at", "row"))
+
+
+def raw_table(df: DataFrame, file, root: str = "") -> DataFrame:
+    """Rows of a CSV or Parquet table as raw rows; file is the column of the path."""
+    return df.select(_below(file, root).alias("file"), F.lit(None).cast("long").alias("at"), F.to_variant_object(F.struct(*[c for c in df.columns if c != file])).alias("row"))
+
+
+def arrow_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of Arrow streams: file, at, row. A file is one value of a task, so it must stay below 2 GB; it is read batch by batch."""
+    import pyarrow as pa
+
+    def run(batches):
+        import json
+
+        for b in batches:
+            for file, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                at = 0
+                for part in pa.ipc.open_stream(content.as_buffer()):
+                    rows = [json.dumps(r, default=str, ensure_ascii=False) for r in part.to_pylist()]
+                    yield pa.RecordBatch.from_arrays([pa.array([file] * len(rows)), pa.array(range(at, at + len(rows)), type=pa.int64()), pa.array(rows, type=pa.string())], names=["file", "at", "json"])
+                    at += len(rows)
+
+    d = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "content").mapInArrow(run, "file string, at long, json string")
+    return d.select("file", "at", F.try_parse_json("json").alias("row"))
+
+
+def zipped_csv(spark: SparkSession, path: str, start: str = "", suffix: str = ".csv") -> DataFrame:
+    """Rows of the CSV members of ZIP files whose names begin and end so: file (archive!member), at, row. An archive must stay below 2 GB."""
+    import pyarrow as pa
+
+    def run(batches):
+        import csv
+        import io
+        import json
+        import zipfile
+
+        for b in batches:
+            for file, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    for member in sorted(n for n in z.namelist() if n.startswith(start) and n.endswith(suffix)):
+                        with z.open(member) as f:
+                            rows = [json.dumps(r, ensure_ascii=False) for r in csv.DictReader(io.TextIOWrapper(f, encoding="utf-8-sig"))]
+                        yield pa.RecordBatch.from_arrays([pa.array([f"{file}!{member}"] * len(rows)), pa.array(range(len(rows)), type=pa.int64()), pa.array(rows, type=pa.string())], names=["file", "at", "json"])
+
+    d = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "content").mapInArrow(run, "file string, at long, json string")
+    return d.select("file", "at", F.try_parse_json("json").alias("row"))
+
+
+def task_directories(spark: SparkSession, path: str, depth: int = 1, exclude: str | None = None) -> DataFrame:
+    """One raw row a directory ``depth`` levels below path: file (the directory), row (texts of the files in it by their paths)."""
+    d = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("p"), "value")
+    d = d.where(~F.contains("p", F.lit(exclude))) if exclude else d
+    parts = F.split(F.substring_index("p", path.rstrip("/") + "/", -1), "/")
+    d = d.select(F.array_join(F.slice(parts, 1, depth), "/").alias("file"), F.array_join(F.slice(parts, depth + 1, 100), "/").alias("name"), "value").where("name <> ''")
+    return d.groupBy("file").agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("m")).select("file", F.try_parse_json(F.to_json("m")).alias("row"))
 
 
 def json_array(spark: SparkSession, path: str, schema: str, keys: tuple[str, ...] = ("example", "examples", "test", "data", "questions")) -> DataFrame:
-    """Elements of a JSON array, or of the array under the first of keys that holds one."""
+    """Elements of a JSON array, or of the array under the first of keys that holds one. A file is one value, below 2 GB."""
     v = F.col("value")
     inner = F.coalesce(*[F.when(F.startswith(F.get_json_object(v, f"$.{k}"), F.lit("[")), F.get_json_object(v, f"$.{k}")) for k in keys])
     body = F.when(F.startswith(F.ltrim(v), F.lit("[")), v).otherwise(inner)

@@ -1,12 +1,12 @@
-"""Record constructors and sinks: fixed record schema, rejects with reasons, language buckets, single CSV files."""
+"""Record constructors and sinks: fixed record schema, rejects with reasons, language and category buckets, CSV."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamis.functions.text import lang_bucket, null_empty
+from tamis.operators.evalset import seq_ids
 
 KEYS = ("dataset", "category", "task_type", "lang", "split", "question", "answer", "solution", "source_file", "orig_id")
 
@@ -27,8 +27,7 @@ def split_rejects(df: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
 
 def write_normalized(df: DataFrame, path: str, order: list[str]) -> None:
     """JSON lines by dataset, with ids in write order within it."""
-    n = F.row_number().over(W.partitionBy("dataset").orderBy(*order)) - 1
-    df.withColumn("id", F.concat("dataset", F.lit("-"), F.lpad(n.cast("string"), 6, "0"))).write.mode("overwrite").partitionBy("dataset").json(path)
+    seq_ids(df, "dataset", order).write.mode("overwrite").partitionBy("dataset").json(path)
 
 
 def write_by_language(df: DataFrame, path: str, keep_unlabeled: bool = False) -> None:
@@ -38,7 +37,30 @@ def write_by_language(df: DataFrame, path: str, keep_unlabeled: bool = False) ->
     d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "dataset").json(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; nested values as JSON text."""
+def write_by_category(records: DataFrame, path: str) -> None:
+    """Session records (category, source, ...) as JSON lines by category and source; what a source had under a category goes first."""
+    records.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("category", "source").json(path)
+
+
+def merge_lines(spark: SparkSession, folder: str, path: str) -> None:
+    """All JSON lines below a folder as one table of lines, in the order of their files' names."""
+    spark.read.option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", True).text(folder).select("value", "_metadata.file_path", "_metadata.file_block_start").orderBy("file_path", "file_block_start").select("value").write.mode("overwrite").text(path)
+
+
+def write_csv(df: DataFrame, path: str, mark: bool = False, columns: list[str] | None = None) -> None:
+    """A folder of CSV files with a header; nested values as JSON text. mark: the first column's name starts with a byte order mark."""
+    df = df.select(*columns) if columns else df
     nested = [c for c, t in df.dtypes if t.startswith(("array", "struct", "map"))]
-    df.withColumns({c: F.to_json(c) for c in nested}).write.mode("overwrite").options(header=True, escape='"').csv(path)
+    out = df.withColumns({c: F.to_json(c) for c in nested})
+    out = out.withColumnRenamed(out.columns[0], "\ufeff" + out.columns[0]) if mark else out
+    out.write.mode("overwrite").options(header=True, escape='"').csv(path)
+
+
+def lines_to_csv(spark: SparkSession, lines: str, path: str) -> list[str]:
+    """JSON lines as CSV: lines that are no objects go, the header is the union of all keys in the order of their first lines. Returns the header."""
+    rows = spark.read.text(lines).select(F.try_parse_json("value").alias("row"), F.monotonically_increasing_id().alias("at"))
+    rows = rows.where(F.startswith(F.schema_of_variant("row"), F.lit("OBJECT"))).withColumn("m", F.col("row").cast("map<string,string>"))
+    keys = rows.select("at", F.posexplode(F.map_keys("m")).alias("k", "key")).groupBy("key").agg(F.min(F.struct("at", "k")).alias("first"))
+    header = [r["key"] for r in keys.orderBy("first").collect()]  # names of columns: as many as the CSV has
+    rows.select(*[F.coalesce(F.try_element_at("m", F.lit(k)), F.lit("")).alias(k) for k in header] or [F.lit("").alias("empty")]).write.mode("overwrite").options(header=bool(header), escape='"').csv(path)
+    return header
