@@ -7,9 +7,6 @@ A-Z only, so both run at C speed without touching other letters.
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
 from collections.abc import Iterable
 
 import numpy as np
@@ -17,6 +14,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamis.scratch import scratch_folder as scratch_folder
+from tamis.scratch import written as written
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 # Entries of a per-task word cache; a full cache is emptied, so memory stays bounded.
@@ -40,35 +40,6 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
-def scratch_folder(spark: SparkSession) -> str:
-    """This application's folder below the shared one that the cluster names in spark.checkpoint.dir.
-
-    Where that is unset, a session in local mode gets a temporary folder; on a cluster that would be out of the executors' reach, so it is an error.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        if not re.fullmatch(r"local(\[.*\])?", context.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-tamis-"))
-        folder = context.getCheckpointDir()
-    return f"{folder.rstrip('/')}/tamis/{context.applicationId}"
-
-
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete the tables that this application's operators have written; frames that still read them must be done with."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write df as a Parquet table in the shared folder and read that."""
-    spark = df.sparkSession
-    path = f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def id_text(doc_id: str = "doc_id"):
     """doc_id as text; a null id counts as the empty string."""
     return F.coalesce(F.col(doc_id).cast("string"), F.lit(""))

@@ -193,6 +193,44 @@ def test_language_id_frame(spark):
     assert language_id.identify(frame(spark, []).selectExpr("*", "false as held_out"), langs, vectors).count() == 0
 
 
+def test_languages_against_brute_force(spark):
+    import collections
+
+    import numpy as np
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").limit(60).collect()
+    rows = [(r["doc_id"], r["text"], r["lang"], "s", 1) for r in docs]
+    rows += [(1000 + k, text, lang, "s", 1) for k, (text, lang) in enumerate([("мама мыла раму и раму мыла", "ru"), ("раму мыла мама", None), ("私は学生です", "ja"), ("学生です", None), ("Ça va, été", "fr"), ("123 !?", "de")])]
+    table = frame(spark, rows)
+    langs, vectors = language_id.prototypes(table)
+    base = language_id.letter_vectors()
+    codes = language_id.letter_codes()
+
+    def bundle(text):
+        letters = [0]
+        for c in (text or "").lower() + " ":
+            code = int(codes[ord(c)])
+            if code or letters[-1]:
+                letters.append(code)
+        if not any(letters):
+            return None, 0
+        grams = collections.Counter(zip(letters, letters[1:], letters[2:]))
+        total = sum(n * np.roll(base[a], 2).astype(float) * np.roll(base[b], 1) * base[c] for (a, b, c), n in grams.items())
+        return total, sum(grams.values())
+
+    sums = {}
+    for _, text, lang, *_ in rows:
+        v, n = bundle(text)
+        if lang is not None and n:
+            sums[lang] = sums.get(lang, 0) + v / np.sqrt(n)
+    assert langs == sorted(sums)
+    for r in language_id.identify(table.selectExpr("*", "false as held_out"), langs, vectors).collect():
+        v, n = bundle(dict((k, t) for k, t, *_ in rows)[r["doc_id"]])
+        near = {x: float(v @ p / np.linalg.norm(v) / np.linalg.norm(p)) for x, p in sums.items()} if n else {"und": 0.0}
+        best = max(near, key=near.get)
+        assert r["lang_pred"] == best and r["score"] == pytest.approx(max(0.0, near[best]), abs=1e-4)
+
+
 def test_bundles_are_sums_of_bound_vectors():
     import numpy as np
 
