@@ -7,7 +7,7 @@ first and last word, priority, confidence. A detection whose interval lies insid
 another with a higher priority (or the same priority and a longer interval) is suppressed. Everything
 happens within the row: there is no shuffle, and the rule table is a literal.
 
-Null or empty text: no words, no places, empty labels, score 0. Rows, also
+Columns of the input named n_words, base, found or __d are replaced. Null or empty text: no words, no places, empty labels, score 0. Rows, also
 repeated ones and null ids, are each answered; columns beyond doc_id and text are ignored.
 """
 
@@ -40,7 +40,8 @@ def version(text: str) -> str:
 def rules() -> list[tuple[str, str, str, int, float]]:
     """(label, keyword, pattern over blank-joined words, priority, confidence), most specific families first.
 
-    A line that a pattern matches in holds the rule's keyword.
+    A line that a pattern matches in holds the rule's keyword; keywords are chosen so that common words of other languages (the
+    German "mit") aren't among them.
     """
     out: list[tuple[str, str, str, int, float]] = []
     add = lambda label, keyword, pattern, priority, confidence: out.append((label, keyword, pattern, priority, confidence))
@@ -119,10 +120,10 @@ def rules() -> list[tuple[str, str, str, int, float]]:
         add(f"{label}" if not versions else f"{label}-unspecified", keyword, long, 50, 0.8)
     # Single licenses, by name or by a telling sentence.
     for label, keyword, pattern, priority, confidence in (
-        ("mit", " mit ", "(?:the )?mit license", 80, 0.95),
-        ("mit", " mit ", "licensed? under (?:the )?mit", 85, 0.95),
+        ("mit", " mit license ", "(?:the )?mit license", 80, 0.95),
+        ("mit", " licen", "licensed? under (?:the )?mit", 85, 0.95),
         ("mit", " permission ", "permission is hereby granted free of charge to any person obtaining a copy", 85, 0.95),
-        ("mit-0", " mit ", "mit no attribution", 90, 1.0),
+        ("mit-0", " mit no ", "mit no attribution", 90, 1.0),
         ("isc", " isc ", "(?:the )?isc license", 80, 0.95),
         ("isc", " permission ", "permission to use copy modify and or distribute this software", 85, 0.9),
         ("bsd-2-clause", " bsd ", "(?:2 clause|simplified|freebsd) bsd(?: license)?", 90, 1.0),

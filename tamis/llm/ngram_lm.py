@@ -35,7 +35,7 @@ LEAST_PAIR = 1
 FILTER_BITS = 27  # log2, of all parts together, at least
 BITS_EACH, PROBES = 10, 3
 KEY_BYTES = 5  # two of a part's pairs meet once in 10^12
-LEVELS = 80
+LEVELS = 127  # counts up to 2^63
 MU = 2_000.0
 FREQUENT = 1 << 19
 BUFFER = 1_500_000  # tokens counted at once
