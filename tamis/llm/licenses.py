@@ -1,7 +1,7 @@
 """License scans by ordered signature rules (DataFrame functions only).
 
 A document's words are joined by single blanks; only if a rule's keyword occurs in that
-line is it looked at further. Each rule whose keyword
+line is it looked at further. There each rule whose pattern's longest fixed part
 occurs is matched against the line, and every match becomes a detection: label,
 first and last word, priority, confidence. A detection whose interval lies inside that of
 another with a higher priority (or the same priority and a longer interval) is suppressed. Everything
@@ -14,6 +14,7 @@ repeated ones and null ids, are each answered; columns beyond doc_id and text ar
 from __future__ import annotations
 
 import json
+import re
 from functools import reduce
 from operator import or_
 
@@ -185,6 +186,20 @@ def gate_words(signatures) -> list[str]:
     return sorted(w for w in every if not any(o != w and o in w for o in every))
 
 
+def fixed_part(pattern: str) -> str:
+    """The longest text that every match of a pattern holds, with the blank before or after the match where it stands at its end."""
+    cut = re.sub(r"\(\?:[^()]*\)[?*]?|\[[^\]]*\](?:\{\d+\}|[+*?])?|.\?", "\0", f" {pattern} ")
+    return max(cut.split("\0"), key=len)
+
+
+def by_fixed_part(signatures) -> Column:
+    """The rules as a literal: array of (part, rules)."""
+    grouped: dict[str, list] = {}
+    for rule in signatures:
+        grouped.setdefault(fixed_part(rule[2]), []).append(dict(zip(("label", "keyword", "pattern", "priority", "confidence"), rule, strict=True)))
+    return F.from_json(F.lit(json.dumps([{"part": k, "rules": v} for k, v in grouped.items()])), f"array<struct<part:string,rules:array<{RULE}>>>")
+
+
 def _spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
@@ -218,11 +233,11 @@ def scan(docs: DataFrame, signatures=None) -> DataFrame:
     gate = lambda line: reduce(or_, [F.contains(line, F.lit(w)) for w in gate_words(signatures)])
     line = F.concat(F.lit(" "), F.array_join(words(F.translate("text", UPPER, LOWER)), " "), F.lit(" "))
     base = _literal([(label, " ", phrase, 1000, 1.0) for phrase, label in BASE])
-    own = _literal(signatures)
+    own = by_fixed_part(signatures)
     places = lambda line, table: F.flatten(F.transform(table, lambda r: _detections(line, r)))
     rank = lambda d: F.struct(d["priority"], d["end"] - d["start"])
     inside = lambda d, o: (o["start"] <= d["start"]) & (o["end"] >= d["end"]) & (rank(o) > rank(d))
-    hits = lambda line: places(line, F.filter(own, lambda r: F.contains(line, r["keyword"])))
+    hits = lambda line: places(line, F.flatten(F.transform(F.filter(own, lambda g: F.contains(line, g["part"])), lambda g: g["rules"])))
     kept = lambda every: F.filter(every, lambda d: ~F.exists(every, lambda o: inside(d, o)))
     detected = _let(line, lambda one: F.when(gate(one), F.struct(places(one, base).alias("base"), _let(hits(one), kept).alias("found"))))
     none = F.array().cast("array<struct<start:bigint,end:bigint,label:string,priority:int,confidence:double>>")
