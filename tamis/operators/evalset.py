@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tamis.functions.text import final_answer, null_empty, reasoning, stable_key, strip
 from tamis.scratch import written
 
+# Splits that count as evaluation, caps, and below the reject codes.
 EVAL_SPLITS = ("test", "testmini", "validation", "val", "dev", "unspecified")
 DEFAULT_CAP = 2000
 SPECIAL_CAPS = {"longbench-data": 500, "CUAD": 300}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Edges and names of the bins.
 LENGTH_BINS = ((100, "<=100"), (300, "101-300"), (800, "301-800"), (2000, "801-2K"), (5000, "2K-5K"), (None, ">5K"))
 CHAR_BINS = ((1 << 10, "<1K"), (1 << 12, "1K-4K"), (1 << 14, "4K-16K"), (1 << 16, "16K-64K"), (1 << 18, "64K-256K"), (None, ">256K"))
 TURN_BINS = ((1, "1"), (2, "2"), (4, "3-4"), (8, "5-8"), (16, "9-16"), (None, ">16"))

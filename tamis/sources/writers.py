@@ -58,9 +58,9 @@ def write_csv(df: DataFrame, path: str, mark: bool = False, columns: list[str] |
 
 def lines_to_csv(spark: SparkSession, lines: str, path: str) -> list[str]:
     """JSON lines as CSV: lines that are no objects go, the header is the union of all keys in the order of their first lines. Returns the header."""
-    rows = spark.read.text(lines).select(F.try_parse_json("value").alias("row"), F.monotonically_increasing_id().alias("at"))
+    rows = spark.read.text(lines).select(F.try_parse_json("value").alias("row"), F.json_object_keys("value").alias("names"), F.monotonically_increasing_id().alias("at"))
     rows = rows.where(F.startswith(F.schema_of_variant("row"), F.lit("OBJECT"))).withColumn("m", F.col("row").cast("map<string,string>"))
-    keys = rows.select("at", F.posexplode(F.map_keys("m")).alias("k", "key")).groupBy("key").agg(F.min(F.struct("at", "k")).alias("first"))
+    keys = rows.select("at", F.posexplode("names").alias("k", "key")).groupBy("key").agg(F.min(F.struct("at", "k")).alias("first"))
     header = [r["key"] for r in keys.orderBy("first").collect()]  # names of columns: as many as the CSV has
     rows.select(*[F.coalesce(F.try_element_at("m", F.lit(k)), F.lit("")).alias(k) for k in header] or [F.lit("").alias("empty")]).write.mode("overwrite").options(header=bool(header), escape='"').csv(path)
     return header
