@@ -29,3 +29,21 @@ def problems(source: str, result: str, lang: Column) -> Column:
 def remaining(todo: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
     """Rows that are not done yet, to go on after an interruption."""
     return todo.join(done.select(key).distinct(), key, "left_anti")
+
+
+FIELDS = ("question", "options", "answer", "solution", "context")
+
+
+def payload(records: DataFrame) -> dict[str, Column]:
+    """payload (JSON of the fields that are to be translated) and keys: what isn't empty, the answer only where it is text."""
+    kept = {c: F.nullif(T.null_empty(F.col(c)), F.lit("")) for c in FIELDS if c != "options"}
+    kept["options"] = F.when(F.size("options") > 0, F.col("options"))
+    kept["question"] = T.null_empty(F.col("question"))
+    kept["answer"] = F.when(F.col("answer_is_text"), kept["answer"])
+    return {"payload": F.to_json(F.struct(*[kept[c].alias(c) for c in FIELDS])), "keys": F.array_compact(F.array(*[F.when(kept[c].isNotNull(), c) for c in FIELDS]))}
+
+
+def filled_in(source: Column, result: Column, name: str) -> tuple[Column, Column]:
+    """(the translated field, or the source where it is blank; a warning or null)."""
+    blank = T.strip(result) == ""
+    return F.when(blank, source).otherwise(result), F.when(blank & (T.null_empty(source) != ""), f"kept_original:{name}")

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tamis.functions import text as T
-from tamis.operators import datasets, evalbuild, evalset, filters, sessions, translation
+from tamis.operators import datasets, evalbuild, evalset, evaluation, filters, sessions, translation
 from tamis.sources import readers, writers
 from tamis.streaming import ingest
 
@@ -191,6 +191,13 @@ def test_places_of_a_group_that_spans_tasks(spark):
     assert all([n for _, n in sorted(x)] == list(range(len(x))) for x in by.values()) and len(rows) == 3000
 
 
+def test_judge_settings_and_columns():
+    assert evaluation.check_judge(0, 1, 0.6, ["a"], {"a": 1.0}, 1, "x_{{referee}}") == []
+    assert len(evaluation.check_judge(1, 1, 2, ["a"], {"b": 1.0}, 0, "x")) == 5
+    assert evaluation.question_column(["id", "text", "prompt"]) == "prompt" and evaluation.question_column(["id"]) is None
+    assert evaluation.family("glm-5", ("usage", "answer")) == [f"{c}_glm_5" for c in ("answer", "prompt_tokens", "cached_tokens", "completion_tokens", "reasoning_tokens", "total_tokens", "error")]
+
+
 def test_ingest_resumes(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
