@@ -25,10 +25,10 @@ def query(sql: str, table: str = "orders"):
     return register
 
 
-NAMES = ["opus-4.6", "glm 5"]
+NAMES = ["model-1.5", "other 5"]
 LONG = """select o_orderkey, candidate, referee, case when referee is null and o_orderkey % 5 <> n then 'a' || o_orderkey || candidate end as answer, case when referee is null then o_orderkey % 7 + n end as prompt_tokens,
   case when referee is null and o_orderkey % 5 = n then 'timeout' end as error, case when referee is not null then (o_orderkey % 10) / 10.0 end as score
-  from orders, (values ('opus-4.6', 0, null), ('glm 5', 1, null), ('glm 5', 1, 'strict')) c(candidate, n, referee)"""
+  from orders, (values ('model-1.5', 0, null), ('other 5', 1, null), ('other 5', 1, 'strict')) c(candidate, n, referee)"""
 
 
 def _long(o: DataFrame) -> DataFrame:
@@ -38,9 +38,9 @@ def _long(o: DataFrame) -> DataFrame:
     return run.unionByName(judge)
 
 
-WIDE = """select o_orderkey, case when o_orderkey % 5 <> 0 then 'a' || o_orderkey || 'opus-4.6' end as answer_opus_4_6, case when o_orderkey % 5 = 0 then 'timeout' end as error_opus_4_6,
-  case when o_orderkey % 5 <> 1 then 'a' || o_orderkey || 'glm 5' end as answer_glm_5, case when o_orderkey % 5 = 1 then 'timeout' end as error_glm_5, cast((o_orderkey % 10) / 10.0 as double) as score_strict_glm_5 from orders"""
-KEPT = ["o_orderkey", "answer_opus_4_6", "error_opus_4_6", "answer_glm_5", "error_glm_5", "score_strict_glm_5"]
+WIDE = """select o_orderkey, case when o_orderkey % 5 <> 0 then 'a' || o_orderkey || 'model-1.5' end as answer_model_1_5, case when o_orderkey % 5 = 0 then 'timeout' end as error_model_1_5,
+  case when o_orderkey % 5 <> 1 then 'a' || o_orderkey || 'other 5' end as answer_other_5, case when o_orderkey % 5 = 1 then 'timeout' end as error_other_5, cast((o_orderkey % 10) / 10.0 as double) as score_strict_other_5 from orders"""
+KEPT = ["o_orderkey", "answer_model_1_5", "error_model_1_5", "answer_other_5", "error_other_5", "score_strict_other_5"]
 
 
 def _wide(o: DataFrame) -> DataFrame:
@@ -52,15 +52,15 @@ def wide_results(o):
     return _wide(o).select(*KEPT)
 
 
-@query(f"select o_orderkey from ({WIDE}) where error_opus_4_6 is not null or error_glm_5 is not null")
+@query(f"select o_orderkey from ({WIDE}) where error_model_1_5 is not null or error_other_5 is not null")
 def wide_failed(o):
     w = _wide(o)
     return w.where(E.failed(w)).select("o_orderkey")
 
 
-@query(f"""select o_orderkey, case when o_orderkey % 10 = 0 then 'second' else answer_opus_4_6 end as answer_opus_4_6, case when o_orderkey % 10 = 0 then '' else error_opus_4_6 end as error_opus_4_6, answer_glm_5, error_glm_5, score_strict_glm_5 from ({WIDE})""")
+@query(f"""select o_orderkey, case when o_orderkey % 10 = 0 then 'second' else answer_model_1_5 end as answer_model_1_5, case when o_orderkey % 10 = 0 then '' else error_model_1_5 end as error_model_1_5, answer_other_5, error_other_5, score_strict_other_5 from ({WIDE})""")
 def wide_retried(o):
-    again = o.select("o_orderkey", F.lit("second").alias("answer_opus_4_6"), F.when(F.col("o_orderkey") % 10 == 0, "").otherwise("timeout").alias("error_opus_4_6"))
+    again = o.select("o_orderkey", F.lit("second").alias("answer_model_1_5"), F.when(F.col("o_orderkey") % 10 == 0, "").otherwise("timeout").alias("error_model_1_5"))
     return E.retried(_wide(o).select(*KEPT), again, ["o_orderkey"], NAMES[0], ("answer",))
 
 

@@ -195,7 +195,7 @@ def test_judge_settings_and_columns():
     assert evaluation.check_judge(0, 1, 0.6, ["a"], {"a": 1.0}, 1, "x_{{referee}}") == []
     assert len(evaluation.check_judge(1, 1, 2, ["a"], {"b": 1.0}, 0, "x")) == 5
     assert evaluation.question_column(["id", "text", "prompt"]) == "prompt" and evaluation.question_column(["id"]) is None
-    assert evaluation.family("glm-5", ("usage", "answer")) == [f"{c}_glm_5" for c in ("answer", "prompt_tokens", "cached_tokens", "completion_tokens", "reasoning_tokens", "total_tokens", "error")]
+    assert evaluation.family("other-5", ("usage", "answer")) == [f"{c}_other_5" for c in ("answer", "prompt_tokens", "cached_tokens", "completion_tokens", "reasoning_tokens", "total_tokens", "error")]
 
 
 def test_ingest_resumes(spark, tmp_path):
