@@ -21,8 +21,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 # Entries of a per-task word cache; a full cache is emptied, so memory stays bounded.
 CACHE_ENTRIES = 200_000
-# Rows of an Arrow batch. Texts can be long, so batches hold few of them.
-BATCH_ROWS = 1_000
+# Rows and bytes of an Arrow batch. Texts can be long, so batches hold few of them.
+BATCH_ROWS, BATCH_BYTES = 1_000, 16 << 20
 
 MIX_1 = np.uint64(0x9E3779B97F4A7C15)
 MIX_2 = np.uint64(0xBF58476D1CE4E5B9)
@@ -34,10 +34,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of whole texts small enough for a Python worker. Stays set for the session; Spark itself bounds their bytes (64 MB)."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Keep Arrow batches of whole texts small enough for a Python worker, by rows and by bytes. Stays set for the session."""
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(rows)) > BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
+    given = spark.conf.get(size).removesuffix("b")
+    if not given.isdigit() or not 0 < int(given) <= BATCH_BYTES:
+        spark.conf.set(size, str(BATCH_BYTES))
 
 
 def id_text(doc_id: str = "doc_id"):
