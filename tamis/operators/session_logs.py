@@ -7,10 +7,10 @@ returns file, session (null where a line is a session by itself), line, messages
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tamis.functions.text import null_empty, strip
+from tamis.operators.scan import scanned
 
 MESSAGE = "struct<role:string,content:string>"
 
@@ -121,8 +121,7 @@ def codex(lines: DataFrame) -> DataFrame:
     """Items under the session last named; texts, reasoning and calls between two other messages become one assistant message."""
     d = lines.where(get("type").isin("session_meta", "response_item"))
     named = F.when(get("type") == "session_meta", get("payload.id"))
-    along = W.partitionBy("file").orderBy("at").rowsBetween(W.unboundedPreceding, W.currentRow)
-    d = d.withColumn("session", F.coalesce(F.last(named, ignorenulls=True).over(along), F.lit("default"))).where(get("type") == "response_item")
+    d = scanned(d, ["file"], ["at"], lasts={"session": named}).withColumn("session", F.coalesce("session", F.lit("default"))).where(get("type") == "response_item")
     p = lambda path, kind="string": get(f"payload.{path}", kind)
     texts = lambda path: F.filter(F.transform(F.coalesce(p(path, "array<variant>"), F.array().cast("array<variant>")), lambda b: null_empty(get("text", of=b))), lambda t: t != "")
     said, thought, kind, role = F.array_join(texts("content"), "\n"), F.array_join(texts("summary"), ""), p("type"), p("role")
@@ -137,8 +136,7 @@ def codex(lines: DataFrame) -> DataFrame:
         .when(kind.isin("function_call_output", "custom_tool_call_output"), message("tool", F.coalesce(F.to_json(p("output", "variant")), F.lit('""'))))
     )
     items = d.select("file", "session", "at", own.alias("block"), other.alias("other")).where("block is not null or other is not null")
-    stops = F.sum(F.col("other").isNotNull().cast("int")).over(W.partitionBy("file", "session").orderBy("at").rowsBetween(W.unboundedPreceding, W.currentRow))
-    items = items.withColumn("island", stops)
+    items = scanned(items, ["file", "session"], ["at"], sums={"island": F.col("other").isNotNull().cast("int")})
     blocks = F.transform(F.array_sort(F.collect_list(F.when(F.col("block").isNotNull(), F.struct("at", "block")))), lambda b: b["block"])
     islands = items.groupBy("file", "session", "island").agg(F.min("at").alias("first"), F.first("other", ignorenulls=True).alias("other"), F.min(F.when(F.col("block").isNotNull(), F.col("at"))).alias("at"), blocks.alias("blocks"))
     single = islands.where("other is not null").select("file", "session", F.col("first").alias("at"), F.col("other").alias("message"))
@@ -149,8 +147,7 @@ def codex(lines: DataFrame) -> DataFrame:
 def pi(lines: DataFrame) -> DataFrame:
     """Messages between two session marks; a later session of the same id is another one. toolCall blocks become tool_use."""
     marks = (get("type") == "session").cast("int")
-    along = W.partitionBy("file").orderBy("at").rowsBetween(W.unboundedPreceding, W.currentRow)
-    d = lines.where(get("type").isin("session", "message")).withColumn("mark", F.sum(marks).over(along))
+    d = scanned(lines.where(get("type").isin("session", "message")), ["file"], ["at"], sums={"mark": marks})
     raw = get("message.content", "variant")
     blocks = get("message.content", "array<variant>")
     renamed = F.transform(blocks, lambda b: F.when(get("type", of=b) == "toolCall", F.to_variant_object(F.struct(F.lit("tool_use").alias("type"), null_empty(get("name", of=b)).alias("name"), F.coalesce(get("arguments", "variant", b), F.parse_json(F.lit('""'))).alias("input")))).otherwise(b))

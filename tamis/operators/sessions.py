@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tamis.operators.scan import scanned
+
 CATEGORIES = ["question", "question-answer", "question-answer-tool-call", "question-multi"]
 
 
@@ -32,9 +33,9 @@ def first_user(messages: DataFrame, session: str = "conv_id") -> DataFrame:
 
 def islands(messages: DataFrame, session: str = "conv_id") -> DataFrame:
     """Consecutive messages of one role become one message; their texts stand in turn order, cut by newlines."""
-    by_turn = W.partitionBy(session).orderBy("turn")
-    starts = F.when(F.lag("role").over(by_turn).eqNullSafe(F.col("role")), 0).otherwise(1)
-    marked = messages.withColumn("s", starts).withColumn("island", F.sum("s").over(by_turn))
+    before = scanned(messages, [session], ["turn"], previous={"before": F.struct("role")})
+    starts = (F.col("before").isNull() | ~F.col("before.role").eqNullSafe(F.col("role"))).cast("int")
+    marked = scanned(before, [session], ["turn"], sums={"island": starts})
     return marked.groupBy(session, "island", "role").agg(
         F.count(F.lit(1)).alias("n"), F.concat_ws("\n", F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda m: m["text"])).alias("text")
     )
@@ -42,13 +43,12 @@ def islands(messages: DataFrame, session: str = "conv_id") -> DataFrame:
 
 def segments(events: DataFrame, key: str, order: list[str], marker: Column) -> DataFrame:
     """Number of markers up to each row: rows between two markers share a segment."""
-    return events.withColumn("segment", F.sum(marker.cast("int")).over(W.partitionBy(key).orderBy(*order)))
+    return scanned(events, [key], order, sums={"segment": marker.cast("int")})
 
 
 def filled(events: DataFrame, key: str, order: list[str], value: Column, default) -> DataFrame:
     """Last value that was not null, up to each row."""
-    w = W.partitionBy(key).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    return events.withColumn("filled", F.coalesce(F.last(value, ignorenulls=True).over(w), F.lit(default)))
+    return scanned(events, [key], order, lasts={"filled": value}).withColumn("filled", F.coalesce("filled", F.lit(default)))
 
 
 BLOCK = "struct<type:string,text:string,name:string,input:string>"
