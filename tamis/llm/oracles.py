@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from tamis.llm import licenses, line_rules, mixing
+from tamis.llm import licenses, line_rules, mixing, url_rules
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -122,9 +122,25 @@ select documents.doc_id, cast(coalesce(sized.n, 0) as bigint) as n_shingles, coa
 from documents left join sized using (doc_id) left join kinds using (same) left join found on found.node = kinds.least"""
 
 
+def url_rules_sql() -> str:
+    rules = ", ".join(f"({tier}, {quoted(verdict)}, {quoted(rule)}, {quoted(rule.partition('/')[0])}, {quoted(rule[len(rule.partition('/')[0]):])})" for tier, many in enumerate((url_rules.RULES, url_rules.OWN_RULES)) for verdict, rule in many)
+    words = ", ".join(map(quoted, url_rules.WORDS))
+    return rf"""
+with rules(tier, verdict, rule, rule_host, rule_path) as (values {rules}),
+rest as (select page_id, row_number() over () as at, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+parts as (select page_id, at, translate(regexp_extract(rest, '^[^/?#]*'), '{url_rules.UPPER}', '{url_rules.LOWER}') as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from rest),
+best as (
+  select at, arg_max(struct_pack(tier := tier, rule := rule, verdict := verdict), struct_pack(a := -tier, b := length(rule), c := length(rule_host), d := rule, e := verdict)) as r
+  from parts join rules on host <> '' and (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path) group by at)
+select page_id, host, path, case when r.tier = 0 then r.rule end as rule,
+  coalesce(r.verdict, case when list_has_any(regexp_split_to_array(host, '[.\-_]'), [{words}]) then 'block' else 'allow' end) as verdict, case when r.tier > 0 then r.rule end as own_rule
+from parts left join best using (at)""".replace("\\-", "\-")
+
+
 ORACLE_SQL = {
     "op3_line_rules": line_rules_sql(),
     "op7_license_scan": licenses_sql(),
     "op8_mix_sources": mixing_sql(),
     "op9_near_duplicates": near_duplicates_sql(),
+    "op13_url_rules": url_rules_sql(),
 }

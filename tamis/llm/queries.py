@@ -13,5 +13,12 @@ from tamis.llm.oracles import ORACLE_SQL as ORACLE_SQL
 from tamis.llm.pii import op1_personal_data
 from tamis.llm.token_ids import op5_token_shards
 from tamis.llm.toxicity import op4_toxicity
+from tamis.llm.url_rules import op13_url_rules
 
-QUERIES = {q.__name__: q for q in (op1_personal_data, op2_ngram_scores, op3_line_rules, op4_toxicity, op5_token_shards, op6_decontaminate, op7_license_scan, op8_mix_sources, op9_near_duplicates, op10_language_id)}
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_personal_data, op2_ngram_scores, op3_line_rules, op4_toxicity, op5_token_shards, op6_decontaminate, op7_license_scan, op8_mix_sources, op9_near_duplicates, op10_language_id,
+        op13_url_rules,
+    )
+}
