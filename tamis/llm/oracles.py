@@ -130,10 +130,10 @@ with rules(tier, verdict, rule, rule_host, rule_path) as (values {rules}),
 rest as (select page_id, row_number() over () as n, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
 parts as (select page_id, n, translate(regexp_extract(rest, '^[^/?#]*'), '{url_rules.UPPER}', '{url_rules.LOWER}') as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from rest),
 best as (
-  select at, arg_max(struct_pack(tier := tier, rule := rule, verdict := verdict), struct_pack(a := -tier, b := length(rule), c := length(rule_host), d := rule, e := verdict)) as r
+  select n, arg_max(struct_pack(tier := tier, rule := rule, verdict := verdict), struct_pack(a := -tier, b := length(rule), c := length(rule_host), d := rule, e := verdict)) as r
   from parts join rules on host <> '' and (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path) group by n)
 select page_id, host, path, case when r.tier = 0 then r.rule end as rule,
-  coalesce(r.verdict, case when list_has_any(regexp_split_to_array(host, '[.\-_]'), [{words}]) then 'block' else 'allow' end) as verdict, case when r.tier > 0 then r.rule end as own_rule
+  coalesce(r.verdict, case when list_has_any(regexp_split_to_array(host, '[._-]'), [{words}]) then 'block' else 'allow' end) as verdict, case when r.tier > 0 then r.rule end as own_rule
 from parts left join best using (n)"""
 
 
