@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from tamis.llm import licenses, line_rules, mixing, url_rules
+from tamis.llm import licenses, line_rules, mixing, phrases, url_rules
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -13,7 +13,7 @@ def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def phrases(names: tuple[str, ...]) -> str:
+def any_of(names: tuple[str, ...]) -> str:
     return "|".join(re.escape(p).replace("\\ ", r"\s+").replace("'", "''") for p in sorted(names, key=len, reverse=True))
 
 
@@ -30,8 +30,8 @@ judged as (
   select doc_id, line, len(w) as n,
     (len(w) > 2 and len(list_filter(w, lambda x: regexp_matches(x, '[#*$%&|<>]'))) > {line_rules.SYMBOL_SHARE} * len(w))
     or len(line) - len(replace(line, ' | ', '12')) >= {line_rules.MENU_ITEMS - 1}
-    or (len(w) <= {line_rules.SHORT_LINE} and regexp_matches(line, '(?i)^{edge}*(?:{phrases(line_rules.NAVIGATION_PHRASES)}){edge}*$'))
-    or (len(w) <= {line_rules.NOTICE_LINE} and regexp_matches(line, '(?i)(?:^|{edge})(?:{phrases(line_rules.BOILERPLATE_PHRASES)})(?:$|{edge})'))
+    or (len(w) <= {line_rules.SHORT_LINE} and regexp_matches(line, '(?i)^{edge}*(?:{any_of(line_rules.NAVIGATION_PHRASES)}){edge}*$'))
+    or (len(w) <= {line_rules.NOTICE_LINE} and regexp_matches(line, '(?i)(?:^|{edge})(?:{any_of(line_rules.BOILERPLATE_PHRASES)})(?:$|{edge})'))
     or (len(w) >= {line_rules.SENTENCE_LINE} and not regexp_matches(w[-1], '[{marks}][{closers}]*$')) as fails
   from lines where len(w) > 0),
 per as (select doc_id, count(*) - count(distinct line) as dup, coalesce(sum(n) filter (fails), 0) as lost from judged group by doc_id),
@@ -137,10 +137,28 @@ select page_id, host, path, case when r.tier = 0 then r.rule end as rule,
 from parts left join best using (n)"""
 
 
+def phrases_sql() -> str:
+    return rf"""
+with d as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), '{url_rules.UPPER}', '{url_rules.LOWER}') as t from documents),
+pieces as (select lang, regexp_extract_all(p, '[^\x20\x09]+') as w from (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as p from d)),
+sizes as (select lang, cast(sum(len(w)) as bigint) as n from pieces group by lang),
+grams as (select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from pieces, range(1, {phrases.LONGEST + 1}) t(k) where len(w) >= k)),
+f as (select lang, k, phrase, string_split(phrase, ' ') as ws, count(*) as f from grams group by lang, k, phrase having count(*) >= {phrases.LEAST}),
+parts as (select lang, phrase, k, f as a, ws, unnest(range(1, k)) as cut from f where k > 1),
+cuts as (
+  select c.lang, c.phrase, a, cut, x.f as l, y.f as r, n, x.phrase as first, y.phrase as rest, x.k as first_k, y.k as rest_k, (1000::hugeint * a * n) // (x.f::hugeint * y.f) as score
+  from parts c join f x on x.lang = c.lang and x.phrase = array_to_string(ws[1:cut], ' ') join f y on y.lang = c.lang and y.phrase = array_to_string(ws[cut + 1:], ' ') join sizes s on s.lang = c.lang),
+held as (select lang, first as phrase from cuts where first_k > 1 and 100 * a >= {phrases.SHARE} * l union select lang, rest from cuts where rest_k > 1 and 100 * a >= {phrases.SHARE} * r),
+weakest as (select *, row_number() over (partition by lang, phrase order by score, cut) as nth from cuts),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from weakest anti join held using (lang, phrase) where nth = 1)
+select lang, cast(rank as bigint) as rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r, n, cast(score as bigint) as score from ranked where rank <= {phrases.TOP}""".replace("\\\\x", "\\x")
+
+
 ORACLE_SQL = {
     "op3_line_rules": line_rules_sql(),
     "op7_license_scan": licenses_sql(),
     "op8_mix_sources": mixing_sql(),
     "op9_near_duplicates": near_duplicates_sql(),
+    "op11_phrases": phrases_sql(),
     "op13_url_rules": url_rules_sql(),
 }
