@@ -147,11 +147,11 @@ f as (select lang, k, phrase, string_split(phrase, ' ') as ws, count(*) as f fro
 parts as (select lang, phrase, k, f as a, ws, unnest(range(1, k)) as cut from f where k > 1),
 cuts as (
   select c.lang, c.phrase, a, cut, x.f as l, y.f as r, n, x.phrase as first, y.phrase as rest, x.k as first_k, y.k as rest_k, (1000::hugeint * a * n) // (x.f::hugeint * y.f) as score
-  from parts c join f x on x.lang = c.lang and x.phrase = array_to_string(ws[1:cut], ' ') join f y on y.lang = c.lang and y.phrase = array_to_string(ws[cut + 1:], ' ') join sizes s on s.lang = c.lang),
+  from parts c join f x on x.lang = c.lang and x.phrase = array_to_string(c.ws[1:cut], ' ') join f y on y.lang = c.lang and y.phrase = array_to_string(c.ws[cut + 1:], ' ') join sizes s on s.lang = c.lang),
 held as (select lang, first as phrase from cuts where first_k > 1 and 100 * a >= {phrases.SHARE} * l union select lang, rest from cuts where rest_k > 1 and 100 * a >= {phrases.SHARE} * r),
 weakest as (select *, row_number() over (partition by lang, phrase order by score, cut) as nth from cuts),
 ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from weakest anti join held using (lang, phrase) where nth = 1)
-select lang, cast(rank as bigint) as rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r, n, cast(score as bigint) as score from ranked where rank <= {phrases.TOP}""".replace("\\\\x", "\\x")
+select lang, cast(rank as bigint) as rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r, n, cast(score as bigint) as score from ranked where rank <= {phrases.TOP}"""
 
 
 ORACLE_SQL = {
