@@ -154,11 +154,36 @@ ranked as (select *, row_number() over (partition by lang order by score desc, a
 select lang, cast(rank as bigint) as rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r, n, cast(score as bigint) as score from ranked where rank <= {phrases.TOP}"""
 
 
+def conversation_trie_sql() -> str:
+    return f"""
+with crcs as (select list_transform(range(256), i -> list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], (a, b) -> case when (a & 1) = 1 then xor(a >> 1, 3988292384) else a >> 1 end)) as t),
+ids as (select distinct conv_id from conversations where conv_id is not null),
+heads as (select conv_id, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::varchar, ''), c -> ascii(c)::bigint)), (a, b) -> xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 4 as h from ids, crcs),
+said as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+turns as (select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text)) as pos from said),
+put as (
+  select heads.conv_id, 0 as own, pos, role, text from heads join turns on turns.conv_id = heads.conv_id - heads.conv_id % 20 and pos <= h union all
+  select conv_id, 1, pos, role, text from heads join turns using (conv_id) where pos > h),
+spots as (select conv_id, row_number() over (partition by conv_id order by own, pos) as d, md5(length(role) || ':' || role || text) as label, len(regexp_extract_all(text, '{WORD}')) as words from put),
+running as (select conv_id, d, words, string_agg(label, '') over (partition by conv_id order by d) as prefix from spots union all select conv_id, 0, 0, '' from ids),
+steps as (select conv_id, d, words, md5(prefix) as prefix, lag(md5(prefix)) over (partition by conv_id order by d) as parent from running),
+nodes as (select prefix, any_value(d) as d, any_value(words) as words, any_value(parent) as parent, min(conv_id) as least, count(*) as n from steps group by prefix),
+below as (select parent as prefix, count(*) as children from nodes where parent is not null group by parent),
+own as (select nodes.*, coalesce(children, 0) as children from nodes left join below using (prefix)),
+sums as (select steps.prefix, sum((n - 1) * own.words) as saved, count(*) filter (children = 0) as leaves from own join steps on steps.conv_id = own.least and steps.d <= own.d group by steps.prefix),
+lasts as (select conv_id, arg_max(prefix, d) as prefix from steps group by conv_id),
+ends as (select prefix, sha256(string_agg(conv_id::varchar, ',' order by conv_id)) as ends from lasts group by prefix)
+select own.least as conv_id, cast(own.d as bigint) as depth, up.least as parent_conv_id, cast(own.n as bigint) as n_convs, cast(own.children as bigint) as n_children, cast(leaves as bigint) as n_leaves, cast(saved as bigint) as saved_tokens,
+  coalesce(ends, sha256('')) as ends_sha256
+from own join sums using (prefix) left join ends using (prefix) left join nodes up on up.prefix = own.parent"""
+
+
 ORACLE_SQL = {
     "op3_line_rules": line_rules_sql(),
     "op7_license_scan": licenses_sql(),
     "op8_mix_sources": mixing_sql(),
     "op9_near_duplicates": near_duplicates_sql(),
     "op11_phrases": phrases_sql(),
+    "op12_conversation_trie": conversation_trie_sql(),
     "op13_url_rules": url_rules_sql(),
 }

@@ -12,6 +12,7 @@ from tamis.llm.ngram_lm import op2_ngram_scores
 from tamis.llm.oracles import ORACLE_SQL as ORACLE_SQL
 from tamis.llm.phrases import op11_phrases
 from tamis.llm.pii import op1_personal_data
+from tamis.llm.prefix_trie import op12_conversation_trie
 from tamis.llm.token_ids import op5_token_shards
 from tamis.llm.toxicity import op4_toxicity
 from tamis.llm.url_rules import op13_url_rules
@@ -20,6 +21,6 @@ QUERIES = {
     q.__name__: q
     for q in (
         op1_personal_data, op2_ngram_scores, op3_line_rules, op4_toxicity, op5_token_shards, op6_decontaminate, op7_license_scan, op8_mix_sources, op9_near_duplicates, op10_language_id,
-        op11_phrases, op13_url_rules,
+        op11_phrases, op12_conversation_trie, op13_url_rules,
     )
 }
