@@ -156,9 +156,9 @@ select lang, cast(rank as bigint) as rank, phrase, cast(a as bigint) as a, cast(
 
 def conversation_trie_sql() -> str:
     return f"""
-with crcs as (select list_transform(range(256), i -> list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], (a, b) -> case when (a & 1) = 1 then xor(a >> 1, 3988292384) else a >> 1 end)) as t),
+with crcs as (select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: case when (a & 1) = 1 then xor(a >> 1, 3988292384) else a >> 1 end)) as t),
 ids as (select distinct conv_id from conversations where conv_id is not null),
-heads as (select conv_id, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::varchar, ''), c -> ascii(c)::bigint)), (a, b) -> xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 4 as h from ids, crcs),
+heads as (select conv_id, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint)), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 4 as h from ids, crcs),
 said as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
 turns as (select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text)) as pos from said),
 put as (
