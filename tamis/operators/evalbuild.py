@@ -133,7 +133,7 @@ def funnel(records: DataFrame, seed: str, caps: dict[str, int] | None = None, de
 
 
 def reasons(records: DataFrame) -> DataFrame:
-    """Rejects by dataset and reason, with the sum over all datasets under the dataset ''."""
+    """Rejects by dataset and reason, with the sum over all of them under the dataset ''."""
     bad = admitted(records).where("dropped = 'invalid'").groupBy("dataset", "reject_reason").agg(F.count(F.lit(1)).alias("n"))
     total = bad.groupBy("reject_reason").agg(F.sum("n").alias("n")).select(F.lit("").alias("dataset"), "reject_reason", "n")
     return bad.unionByName(total)

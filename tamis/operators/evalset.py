@@ -19,7 +19,7 @@ SPECIAL_CAPS = {"longbench-data": 500, "CUAD": 300}
 
 
 def cleaned(records: DataFrame) -> DataFrame:
-    """records: question, answer, options, solution, split. Repairs answers and options; reject_reason is null for good rows."""
+    """records: question, answer, options, solution, split, and metadata if there. Repairs answers and options; reject_reason is null for good rows."""
     q, a = strip(F.col("question")), strip(F.col("answer"))
     options = F.transform(F.coalesce("options", F.array().cast("array<string>")), strip)
     has_gsm = F.contains(a, F.lit("####"))
@@ -44,6 +44,11 @@ def cleaned(records: DataFrame) -> DataFrame:
         .when(F.col("__beyond"), "option_missing_for_letter").when((F.size(o) > 0) & ~F.col("__letter") & ~found, "answer_not_in_options")
     )
     split = F.when(null_empty(F.col("split")) == "", "unspecified").otherwise(F.col("split"))
+    if "metadata" in records.columns:  # a letter that became its option's text stays in the metadata
+        fields = F.map_filter(F.coalesce(F.try_parse_json("metadata").cast("map<string,variant>"), F.create_map().cast("map<string,variant>")), lambda k, _: k != "answer_letter")
+        letter = F.create_map(F.lit("answer_letter"), F.to_variant_object(F.struct(F.col("__raw").alias("v"))))
+        letter = F.transform_values(letter, lambda _, v: F.variant_get(v, "$.v", "variant"))
+        d = d.withColumn("metadata", F.when(F.col("__letter") & ~F.col("__beyond"), F.to_json(F.map_concat(fields, letter))).otherwise(F.col("metadata")))
     return d.withColumns({"reject_reason": reason, "split": split}).drop("__raw", "__letter", "__beyond")
 
 

@@ -1,4 +1,4 @@
-"""Normalisers of evaluation datasets: raw rows of a dataset become records of one schema, or rejects with a reason.
+"""Normalisers of evaluation data: raw rows of a dataset become records of one schema, or rejects with a reason.
 
 A raw row is ``file`` (its path below the corpus root), ``row`` (its fields, as VARIANT, so that JSON, CSV and Parquet
 sources read alike), and where a dataset needs them ``at`` (its place in the file, from 0) and ``top`` (fields of the
@@ -20,6 +20,8 @@ from tamis.sources.writers import record
 REGISTRY: dict[str, Dataset] = {}
 LETTERS = ("A", "B", "C", "D")
 
+# Fixed values all through: names of each dataset and of its fields, the constant fields of its records, and the codes of its rejects.
+
 
 @dataclass(frozen=True)
 class Dataset:
@@ -450,9 +452,10 @@ def _legalbench():
 
 def _contracts(raw: DataFrame) -> DataFrame:
     """One row a question of a contract's paragraphs: title, context and the question's place come as fields of it."""
-    raw = raw.withColumn("title", null_empty(get("title"))).withColumn("p", F.explode_outer(get("paragraphs", "array<variant>")))
+    raw = raw.withColumns({"title": null_empty(get("title")), "nothing": F.when(F.col("row").isNotNull(), F.parse_json(F.lit("null")))}).withColumn("p", F.explode_outer(get("paragraphs", "array<variant>")))
     raw = raw.withColumn("context", null_empty(F.try_variant_get("p", "$.context", "string")))
-    return raw.select(*[c for c in raw.columns if c not in ("row", "p", "at")], F.posexplode(F.try_variant_get("p", "$.qas", "array<variant>")).alias("at", "row"))
+    asked = raw.select(*[c for c in raw.columns if c not in ("row", "p", "at")], F.posexplode_outer(F.try_variant_get("p", "$.qas", "array<variant>")).alias("at", "row"))
+    return asked.withColumn("row", F.coalesce("row", "nothing")).drop("nothing")  # JSON null where a readable contract has no question
 
 
 @dataset("CUAD", "instruction", _contracts)
@@ -463,7 +466,7 @@ def _cuad():
     return {
         "task_type": F.lit("long_context"), "lang": F.lit("en"), "split": F.lit("test"), "question": text("question"), "answer": answer, "orig_id": F.concat("title", F.lit("#"), F.col("at").cast("string")),
         "metadata": meta(contract_title=F.col("title"), clause_type=F.regexp_extract(text("question"), '"(.+?)"', 1), context_chars=F.length("context"), context=F.col("context")),
-        "reject": {"no_highlight_answer": F.size(answers) == 0, "blank_highlight": strip(answer) == ""},
+        "reject": {"no_questions": F.is_variant_null("row"), "no_highlight_answer": F.size(answers) == 0, "blank_highlight": strip(answer) == ""},
     }
 
 
@@ -487,7 +490,7 @@ def _apex_agents():
 
 
 def _examples(raw: DataFrame) -> DataFrame:
-    return raw.withColumn("ex", F.explode(get("examples", "array<variant>")))
+    return raw.withColumn("ex", F.explode_outer(get("examples", "array<variant>")))
 
 
 @dataset("chembench", "math", _examples)
@@ -499,7 +502,7 @@ def _chembench():
     return {
         "task_type": F.when(scored, "mcq").otherwise("open_qa"), "lang": F.lit("en"), "question": question, "options": F.when(scored, F.map_keys(scores)), "orig_id": text("uuid"),
         "answer": F.when(scored, null_empty(F.try_element_at(right, F.lit(1)))).otherwise(target), "metadata": meta("name", "keywords", subfield=folder()),
-        "reject": {"chembench_empty_input": question == "", "chembench_no_answer": ~scored & target.isNull()},
+        "reject": {"no_examples": F.col("ex").isNull(), "chembench_empty_input": question == "", "chembench_no_answer": ~scored & target.isNull()},
     }
 
 

@@ -68,7 +68,7 @@ CAPS = {"longbench-data": 4}
   select dataset || '-' || lpad(cast(row_number() over (order by dataset, key) as varchar), 5, '0') as id, dataset as source, category, task_type, lang, sp as split, subject, difficulty, variant, q as question, context,
     case when doc_id % 3 = 0 then '["alpha","beta x"]' else '' end as options, case when doc_id % 3 = 0 then 'beta x' else cast(doc_id as varchar) end as answer,
     case when solution <> '' then solution when doc_id % 3 = 0 then '' else 'steps <<1>>' end as solution,
-    '{{"category":"（新课标ii）","level":"' || level || '","subject":"s' || doc_id % 3 || '","subject_file":"2010-2022_Biology_MCQs.json"}}' as extra from picked""".replace("{{", "{").replace("}}", "}"))
+    case when doc_id % 3 = 0 then '{{"answer_letter":"B",' else '{{' end || '"category":"（新课标ii）","level":"' || level || '","subject":"s' || doc_id % 3 || '","subject_file":"2010-2022_Biology_MCQs.json"}}' as extra from picked""".replace("{{", "{").replace("}}", "}"))
 def eval_build(d):
     return B.built(_records(d), SEED, caps=CAPS, default=9)
 

@@ -12,12 +12,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.operators import datasets
+from tamis.operators import normalizers
 
 COLUMNS = ("task_type", "lang", "split", "question", "answer", "options", "solution", "source_file", "orig_id", "m")
 K, S = "p_partkey", "cast(p_partkey as string)"
 ASK = f"case when {K} % 7 = 0 then '' else 'How many ' || p_name || '?' end"
 BLANK = f"{K} % 7 = 0"
+UNREADABLE = f"{K} % 97 = 0"  # rows that are no JSON
 
 
 @dataclass(frozen=True)
@@ -43,8 +44,8 @@ def run(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     c = CASES[name]
     parts = spark.read.parquet(f"{sf_dir}/part.parquet")
     row = ", ".join(f"'{k}', {v}" for k, v in c.fields.items())
-    raw = parts.selectExpr(f"{K} as rid", f"{c.file} as file", f"parse_json(to_json(named_struct({row}))) as row", *[f"{v} as {k}" for k, v in c.extra.items()])
-    out = datasets.normalize(raw, name, **(c.sides(spark, parts) if c.sides else {}))
+    raw = parts.selectExpr(f"{K} as rid", f"{c.file} as file", f"case when not ({UNREADABLE}) then parse_json(to_json(named_struct({row}))) end as row", *[f"{v} as {k}" for k, v in c.extra.items()])
+    out = normalizers.normalize(raw, name, **(c.sides(spark, parts) if c.sides else {}))
     m = F.concat_ws("~", *[F.coalesce(F.get_json_object("metadata", path), F.lit("")) for path in c.metas])
     out = out.withColumns({"options": F.array_join("options", "|"), "m": m})
     good = F.col("reject_reason").isNull()
@@ -52,9 +53,9 @@ def run(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def sql(name: str) -> str:
-    c, d = CASES[name], datasets.REGISTRY[name]
+    c, d = CASES[name], normalizers.REGISTRY[name]
     values = ", ".join(f"case when reason is null then coalesce(cast(({c.expected.get(x, chr(39) * 2)}) as varchar), '') else '' end as {x}" for x in COLUMNS)
-    return f"select {K} as rid, '{d.name}' as dataset, '{d.category}' as category, {values}, reason as reject_reason from (select *, {c.reject} as reason from part)"
+    return f"select {K} as rid, '{d.name}' as dataset, '{d.category}' as category, {values}, reason as reject_reason from (select *, case when {UNREADABLE} then 'json_parse_error' else {c.reject} end as reason from part)"
 
 
 PLAIN = {"question": ASK, "answer": S}
@@ -140,13 +141,13 @@ case("legalbench", f"'legalbench/data/' || case {K} % 4 when 0 then 'hearsay' wh
       "options": f"case {K} % 4 when 0 then 'Yes|No' when 1 then p_brand || '|' || p_type end", "orig_id": S, "m": f"case {K} % 4 when 0 then 'hearsay' when 1 then 'scalr' else 'free' end || '~' || case when {K} % 4 = 1 then '1' else '' end"},
      f"case when {K} % 4 = 3 then 'no_metadata' when {K} % 13 = 0 then 'retired_file' when {BLANK} then 'empty_text_or_missing_field' when {K} % 4 <> 1 and p_size % 6 = 0 then 'empty_answer' end", ["$.task_name", "$.answer_index"],
      sides=lambda spark, parts: {"tasks": spark.sql("select task, to_variant_object(named_struct('instruction', instruction, 'answer_space', space, 'eval_method', 'em')) as task_row from values ('hearsay', 'Is this hearsay? {{text}}', array('Yes', 'No')), ('scalr', '', array()), ('free', 'no place', array('Yes')) as t(task, instruction, space)")})
-case("CUAD", "'CUAD/CUAD_v1/CUAD_v1.json'", {"title": f"'c' || {S}", "paragraphs": "array(named_struct('context', p_name, 'qas', array(named_struct('question', 'Highlight \"' || p_type || '\" here', 'answers', case p_size % 3 when 0 then array(named_struct('text', p_brand), named_struct('text', p_name)) when 1 then array(named_struct('text', ' ')) else array() end))))"},
-     {"task_type": "'long_context'", "split": "'test'", "question": "'Highlight \"' || p_type || '\" here'", "answer": "p_brand || chr(10) || p_name", "orig_id": f"'c' || {S} || '#0'", "m": "p_type || '~' || length(p_name)"}, "case p_size % 3 when 2 then 'no_highlight_answer' when 1 then 'blank_highlight' end", ["$.clause_type", "$.context_chars"])
+case("CUAD", "'CUAD/CUAD_v1/CUAD_v1.json'", {"title": f"'c' || {S}", "paragraphs": "filter(array(named_struct('context', p_name, 'qas', filter(array(named_struct('question', 'Highlight \"' || p_type || '\" here', 'answers', case p_size % 3 when 0 then array(named_struct('text', p_brand), named_struct('text', p_name)) when 1 then array(named_struct('text', ' ')) else array() end)), x -> p_size % 11 <> 0))), x -> p_size % 13 <> 0)"},
+     {"task_type": "'long_context'", "split": "'test'", "question": "'Highlight \"' || p_type || '\" here'", "answer": "p_brand || chr(10) || p_name", "orig_id": f"'c' || {S} || '#0'", "m": "p_type || '~' || length(p_name)"}, "case when p_size % 11 = 0 or p_size % 13 = 0 then 'no_questions' when p_size % 3 = 2 then 'no_highlight_answer' when p_size % 3 = 1 then 'blank_highlight' end", ["$.clause_type", "$.context_chars"])
 case("apex-agents", "'apex-agents/tasks_and_rubrics.json'", {"task_id": S, "prompt": ASK, "gold_response": "case when p_size = 1 then '' else p_name end", "world_id": "p_brand", "rubric": "array(named_struct('criteria', p_type))"},
      FOLLOW | {"question": ASK, "answer": "p_name", "orig_id": S, "m": "'World of ' || p_brand || '~mail~1'"}, f"case when {BLANK} then 'empty_prompt' when p_size = 1 then 'empty_gold_response' when p_brand = 'Brand#11' then 'world_not_found' end", ["$.world_name", "$.world_apps[0]", "$.num_rubric_criteria"],
      sides=lambda spark, parts: {"worlds": parts.select("p_brand").distinct().where("p_brand <> 'Brand#11'").selectExpr("to_variant_object(named_struct('world_id', p_brand, 'world_name', 'World of ' || p_brand, 'apps', array(named_struct('service_name', ''), named_struct('service_name', 'mail')))) as world_row")})
-case("chembench", "'chembench/organic/train.parquet'", {"uuid": S, "name": "p_name", "examples": f"array(named_struct('input', {ASK}, 'target', case when p_size % 3 = 1 then {S} end, 'target_scores', case when p_size % 3 = 0 then '{{\"' || p_type || '\": 0, \"' || p_brand || '\": 1}}' end))"},
-     {"task_type": "case when p_size % 3 = 0 then 'mcq' else 'open_qa' end", "question": ASK, "options": "case when p_size % 3 = 0 then p_type || '|' || p_brand end", "answer": f"case when p_size % 3 = 0 then p_brand else {S} end", "orig_id": S, "m": "p_name || '~organic'"}, f"case when {BLANK} then 'chembench_empty_input' when p_size % 3 = 2 then 'chembench_no_answer' end", ["$.name", "$.subfield"])
+case("chembench", "'chembench/organic/train.parquet'", {"uuid": S, "name": "p_name", "examples": f"filter(array(named_struct('input', {ASK}, 'target', case when p_size % 3 = 1 then {S} end, 'target_scores', case when p_size % 3 = 0 then '{{\"' || p_type || '\": 0, \"' || p_brand || '\": 1}}' end)), x -> p_size % 11 <> 0)"},
+     {"task_type": "case when p_size % 3 = 0 then 'mcq' else 'open_qa' end", "question": ASK, "options": "case when p_size % 3 = 0 then p_type || '|' || p_brand end", "answer": f"case when p_size % 3 = 0 then p_brand else {S} end", "orig_id": S, "m": "p_name || '~organic'"}, f"case when p_size % 11 = 0 then 'no_examples' when {BLANK} then 'chembench_empty_input' when p_size % 3 = 2 then 'chembench_no_answer' end", ["$.name", "$.subfield"])
 case("scivqr", "'scivqr/data/train.parquet'", {"question": ASK, "choices": "case when p_size % 2 = 0 then array(p_brand, p_type) else array() end", "answer": "case when p_size % 3 = 0 then '' else p_type end", "pid": K, "solution": "p_name", "sub-subject": "p_brand", "decoded_image": "case when p_size % 5 = 0 then 'x' end"},
      {"task_type": "'mcq'", "question": ASK, "options": "case when p_size % 2 = 0 then p_brand || '|' || p_type end", "answer": "case when p_size % 3 > 0 then p_type end", "solution": "p_name", "orig_id": S, "m": "p_brand || '~' || case when p_size % 5 = 0 then 'true' else 'false' end"}, f"case when {BLANK} then 'scivqr_empty_question' when p_size % 6 = 3 then 'scivqr_no_choice_answer' end", ["$.sub_subject", "$.has_image"])
 case("formalmath", "'formalmath/FormalMATH_all.json'", {"refined_statement": ASK, "autoformalization": "p_name", "theorem_names": f"'t' || {S}", "source": "p_type"}, {"question": ASK, "answer": "p_name", "orig_id": f"'t' || {S}", "m": "p_type"}, "formalmath_empty_statement", ["$.source"])

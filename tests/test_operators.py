@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tamis.functions import text as T
-from tamis.operators import datasets, evalbuild, evalset, evaluation, filters, sessions, translation
+from tamis.operators import evalbuild, evalset, evaluation, filters, normalizers, sessions, translation
 from tamis.sources import readers, writers
 from tamis.streaming import ingest
 
@@ -146,10 +146,10 @@ def test_raw_readers(spark, tmp_path):
     (task / "solve.sh").write_text("ls")
     (task.parent / "instruction.md").write_text("Do it")
     raw = readers.task_directories(spark, str(tmp_path / "tasks"))
-    r = datasets.normalize(raw, "Terminal_Bench").first()
+    r = normalizers.normalize(raw, "Terminal_Bench").first()
     assert (r["question"], r["answer"], r["orig_id"], r["reject_reason"]) == ("Do it", "ls", "t1", None)
     with pytest.raises(KeyError):
-        datasets.find("none")
+        normalizers.find("none")
 
 
 def test_lines_of_large_files_are_numbered_across_blocks(spark, tmp_path):
