@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tamis.sources import byte_ranges, json_index
 
 RECORD = (
     "id string, dataset string, category string, task_type string, lang string, split string, question string, answer string, "
@@ -17,22 +20,39 @@ def stem(path=None):
 
 
 def json_lines(spark: SparkSession, path: str, schema: str, bad_rows: str = "count") -> DataFrame:
-    """Non-blank lines as records. bad_rows: 'count' keeps bad lines with their text in _bad, 'fail' stops at them."""
+    """Non-blank lines as records. bad_rows: 'count' keeps bad lines with their text in _bad, 'fail' stops at the first and names file and line."""
     if bad_rows == "fail":
-        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+        byte_ranges.register(spark)
+        lines = spark.read.format("tamis_lines").options(json=True, errors="strict").load(path).where(F.trim("value") != "")
+        return lines.select(F.from_json("value", schema).alias("r")).select("r.*")
     return spark.read.schema(f"{schema}, _bad string").option("columnNameOfCorruptRecord", "_bad").json(path)
 
 
+def by_extension(spark: SparkSession, path: str, schema: str, bad_rows: str = "count") -> DataFrame:
+    """Records of a file or folder whose format its name tells: .jsonl, .csv, .tsv or .parquet, with columns of schema; others are an error."""
+    name = path.rstrip("/*").lower()
+    if name.endswith((".jsonl", ".ndjson")):
+        return json_lines(spark, path, schema, bad_rows)
+    wanted = StructType.fromDDL(schema)
+    if name.endswith(".parquet"):
+        d = spark.read.parquet(path)
+    elif name.endswith((".csv", ".tsv")):
+        d = delimited(spark, path, "\t" if name.endswith(".tsv") else ",")
+    else:
+        raise ValueError(f"no format is known by the name of {path}: .jsonl, .csv, .tsv or .parquet")
+    return d.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) if f.name in d.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted])
+
+
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Physical lines of each file with their numbers from 1: file, line, value. Large files are read by many tasks.
 
-    A task reads a block of a file in order, so a line's number is its place in the block after the lines of earlier blocks.
+    A task reads the lines that begin in a byte range, so a line's number is its place there after the lines of earlier ranges.
     """
-    meta = F.col("_metadata")
-    lines = spark.read.text(path).select(meta["file_path"].alias("file"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("at"), "value")
-    blocks = lines.groupBy("file", "block").agg(F.min("at").alias("low"), F.count(F.lit(1)).alias("n"))
+    byte_ranges.register(spark)
+    lines = spark.read.format("tamis_lines").load(path)
+    blocks = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
     before = F.coalesce(F.sum("n").over(W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # a row for each block
-    return lines.join(blocks.withColumn("before", before), ["file", "block"]).select("file", (F.col("at") - F.col("low") + F.col("before") + 1).alias("line"), "value")
+    return lines.join(blocks.withColumn("before", before), ["file", "block"]).select("file", (F.col("nth") + F.col("before") + 1).alias("line"), "value")
 
 
 def count_lines(spark: SparkSession, path: str) -> int:
@@ -52,21 +72,13 @@ def _below(column, root: str):
     return F.substring_index(c, root.rstrip("/") + "/", -1) if root else c
 
 
-def raw_array(spark: SparkSession, path: str, root: str = "", keys: tuple[str, ...] = ("example", "examples", "test", "data", "questions")) -> DataFrame:
-    """Elements of a JSON array as raw rows: file, at, row, top (the outer object, if there is one).
+def raw_array(spark: SparkSession, path: str, root: str = "", keys: tuple[str, ...] = json_index.KEYS) -> DataFrame:
+    """Elements of JSON arrays as raw rows: file, at, row, top (the outer object without the array, if there is one).
 
-    The array is the file itself, the one under the first of keys that holds one, or the first list of the object. A file is one
-    value of a task, so it must stay below 2 GB.
+    The array is the file itself, the one under the first of keys that holds one, or the first list of the object. Files are read in blocks by many tasks.
     """
-    v = F.try_parse_json("value")
-    is_list = lambda c: F.coalesce(F.startswith(F.schema_of_variant(c), F.lit("ARRAY")), F.lit(False))
-    named = [F.when(is_list(F.try_variant_get(v, f"$.{k}", "variant")), F.try_variant_get(v, f"$.{k}", "array<variant>")) for k in keys]
-    text_order = F.json_object_keys("value")  # keys as they stand in the text
-    values = v.cast("map<string,variant>")
-    first = F.try_element_at(F.filter(F.transform(text_order, lambda k: F.try_element_at(values, k)), is_list), F.lit(1))
-    body = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), *named, F.try_variant_get(first, "$", "array<variant>"))
-    whole = spark.read.text(path, wholetext=True).select(_below(F.col("_metadata.file_path"), root).alias("file"), v.alias("top"), body.alias("body"))
-    return whole.select("file", "top", F.posexplode("body").alias("at", "row"))
+    d = json_index.elements(spark, path, keys)
+    return d.select(_below("file", root).alias("file"), F.try_parse_json("top").alias("top"), "at", F.try_parse_json("value").alias("row"))
 
 
 def raw_table(df: DataFrame, file, root: str = "") -> DataFrame:
@@ -75,44 +87,15 @@ def raw_table(df: DataFrame, file, root: str = "") -> DataFrame:
 
 
 def arrow_stream(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of Arrow streams: file, at, row. A file is one value of a task, so it must stay below 2 GB; it is read batch by batch."""
-    import pyarrow as pa
-
-    def run(batches):
-        import json
-
-        for b in batches:
-            for file, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                at = 0
-                for part in pa.ipc.open_stream(content.as_buffer()):
-                    rows = [json.dumps(r, default=str, ensure_ascii=False) for r in part.to_pylist()]
-                    yield pa.RecordBatch.from_arrays([pa.array([file] * len(rows)), pa.array(range(at, at + len(rows)), type=pa.int64()), pa.array(rows, type=pa.string())], names=["file", "at", "json"])
-                    at += len(rows)
-
-    d = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "content").mapInArrow(run, "file string, at long, json string")
-    return d.select("file", "at", F.try_parse_json("json").alias("row"))
+    """Rows of Arrow streams: file, at, row. Tasks read runs of record batches."""
+    byte_ranges.register(spark)
+    return spark.read.format("tamis_arrow").load(path).select("file", "at", F.try_parse_json("json").alias("row"))
 
 
 def zipped_csv(spark: SparkSession, path: str, start: str = "", suffix: str = ".csv") -> DataFrame:
-    """Rows of the CSV members of ZIP files whose names begin and end so: file (archive!member), at, row. An archive must stay below 2 GB."""
-    import pyarrow as pa
-
-    def run(batches):
-        import csv
-        import io
-        import json
-        import zipfile
-
-        for b in batches:
-            for file, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for member in sorted(n for n in z.namelist() if n.startswith(start) and n.endswith(suffix)):
-                        with z.open(member) as f:
-                            rows = [json.dumps(r, ensure_ascii=False) for r in csv.DictReader(io.TextIOWrapper(f, encoding="utf-8-sig"))]
-                        yield pa.RecordBatch.from_arrays([pa.array([f"{file}!{member}"] * len(rows)), pa.array(range(len(rows)), type=pa.int64()), pa.array(rows, type=pa.string())], names=["file", "at", "json"])
-
-    d = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "content").mapInArrow(run, "file string, at long, json string")
-    return d.select("file", "at", F.try_parse_json("json").alias("row"))
+    """Rows of the CSV members of ZIP files whose names begin and end so: file (archive!member), at, row. A task streams a member."""
+    byte_ranges.register(spark)
+    return spark.read.format("tamis_zip").options(begin=start, end=suffix).load(path).select("file", "at", F.try_parse_json("json").alias("row"))
 
 
 def task_directories(spark: SparkSession, path: str, depth: int = 1, exclude: str | None = None) -> DataFrame:
@@ -124,12 +107,9 @@ def task_directories(spark: SparkSession, path: str, depth: int = 1, exclude: st
     return d.groupBy("file").agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("m")).select("file", F.try_parse_json(F.to_json("m")).alias("row"))
 
 
-def json_array(spark: SparkSession, path: str, schema: str, keys: tuple[str, ...] = ("example", "examples", "test", "data", "questions")) -> DataFrame:
-    """Elements of a JSON array, or of the array under the first of keys that holds one. A file is one value, below 2 GB."""
-    v = F.col("value")
-    inner = F.coalesce(*[F.when(F.startswith(F.get_json_object(v, f"$.{k}"), F.lit("[")), F.get_json_object(v, f"$.{k}")) for k in keys])
-    body = F.when(F.startswith(F.ltrim(v), F.lit("[")), v).otherwise(inner)
-    return spark.read.text(path, wholetext=True).select(F.explode(F.from_json(body, f"array<struct<{schema}>>")).alias("r")).select("r.*")
+def json_array(spark: SparkSession, path: str, schema: str, keys: tuple[str, ...] = json_index.KEYS) -> DataFrame:
+    """Elements of a JSON array, or of the array under the first of keys that holds one, as records."""
+    return json_index.elements(spark, path, keys).select(F.from_json("value", schema).alias("r")).select("r.*")
 
 
 def delimited(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
