@@ -169,8 +169,6 @@ def repeated(docs: DataFrame) -> DataFrame:
     """docs as often as the mix takes them: rows with no copy go, rows with two stand twice; same columns."""
     taken = mix(docs.select("doc_id", "text", "source")).filter("copies > 0")
     taken = taken.groupBy("doc_id", "source", "key").agg(F.max("copies").alias("copies"))
-    key = F.xxhash64("text")
-    d = docs.withColumn("__key", key)
-    same = d["doc_id"].eqNullSafe(taken["doc_id"]) & d["source"].eqNullSafe(taken["source"]) & (d["__key"] == taken["key"])
-    out = d.join(taken, same).select(*[d[c] for c in docs.columns], taken["copies"].alias("__copies"))
-    return out.withColumn("__one", F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int")))).drop("__one", "__copies")
+    d = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("h"))  # whatever the columns' names
+    same = d["row.doc_id"].eqNullSafe(taken["doc_id"]) & d["row.source"].eqNullSafe(taken["source"]) & (d["h"] == taken["key"])
+    return d.join(taken, same).select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("row.*")

@@ -394,12 +394,12 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     per_row = written(labelled(docs).where("n_shingles > 0").groupBy("comp", "id", "h").agg(F.count(F.lit(1)).alias("rows")), "component-rows")
     first = written(per_row.groupBy("comp").agg(F.min(F.struct("id", "h")).alias("first")), "component-firsts")
     placed = per_row.join(first, "comp").withColumn("stays", F.struct("id", "h") == F.col("first"))
-    marks = written(placed.where("not stays or rows > 1").select(F.col("id").alias("__row_id"), F.col("h").alias("__row_hash"), "stays"), "not-kept")
+    marks = written(placed.where("not stays or rows > 1").select("id", "h", "stays"), "not-kept")
     row_id, row_hash = row_key()
-    rows = docs.withColumns({"__row_id": row_id, "__row_hash": row_hash})
-    key = ["__row_id", "__row_hash"]
-    out = rows.join(marks, key, "left_anti").select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), row_id.alias("id"), row_hash.alias("h"))  # whatever the columns' names
+    key = ["id", "h"]
+    out = rows.join(marks, key, "left_anti").select("row.*")
     again = marks.where("stays")
     if again.isEmpty():
         return out
-    return out.unionByName(rows.join(again, key, "left_semi").dropDuplicates(key).select(*docs.columns))
+    return out.unionByName(rows.join(again, key, "left_semi").dropDuplicates(key).select("row.*"))

@@ -3,7 +3,7 @@
 import random
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
-EXTRA = ["key", "part", "row", "score", "size", "a", "b", "cid", "h", "target", "count", "value"]
+EXTRA = ["key", "part", "row", "score", "size", "a", "b", "cid", "h", "target", "count", "value", "__key", "__copies", "__one", "__row_id", "__row_hash", "id", "stays", "copies", "col"]
 
 
 def words(rng, n, vocabulary=400):
