@@ -134,9 +134,19 @@ def funnel(records: DataFrame, seed: str, caps: dict[str, int] | None = None, de
 
 def reasons(records: DataFrame) -> DataFrame:
     """Rejects by dataset and reason, with the sum over all of them under the dataset ''."""
-    bad = admitted(records).where("dropped = 'invalid'").groupBy("dataset", "reject_reason").agg(F.count(F.lit(1)).alias("n"))
-    total = bad.groupBy("reject_reason").agg(F.sum("n").alias("n")).select(F.lit("").alias("dataset"), "reject_reason", "n")
-    return bad.unionByName(total)
+    bad = admitted(records).where("dropped = 'invalid'").withColumn("dataset", null_empty(F.col("dataset")))
+    out = bad.groupingSets([["dataset", "reject_reason"], ["reject_reason"]], "dataset", "reject_reason").agg(F.count(F.lit(1)).alias("n"))
+    return out.withColumn("dataset", null_empty(F.col("dataset")))
+
+
+def funnel_totals(steps: DataFrame) -> DataFrame:
+    """The rows of funnel with one for all under the dataset '': sums, its own coverage, and the names of datasets with nothing (none) and with little (low) picked."""
+    sums = ("raw", "code", "lang", "invalid", "valid", "duplicate", "pool", "train", "usable", "cap", "picked")
+    named = lambda band: F.array_join(F.sort_array(F.collect_set(F.when(F.col("band") == band, F.col("dataset")))), ",")
+    d = steps.groupingSets([["dataset"], []], "dataset").agg(F.grouping_id().alias("level"), *[F.sum(c).alias(c) for c in sums], named("none").alias("none"), named("low").alias("low"))
+    whole = F.col("level") == 1
+    share = F.when(F.col("raw") > 0, F.round(100 * (F.col("picked") / F.col("raw")), 1)).otherwise(0.0)
+    return d.select(F.when(whole, "").otherwise(F.col("dataset")).alias("dataset"), *sums, share.alias("coverage"), *[F.when(whole, F.col(c)).otherwise("").alias(c) for c in ("none", "low")])
 
 
 def difficulty_order(c: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Edges and names of the bins.
@@ -39,6 +40,19 @@ def links(df: DataFrame, *levels: str) -> DataFrame:
     return named.select(F.explode(pairs).alias("p")).groupBy("p.level", "p.source", "p.target").agg(F.count(F.lit(1)).alias("value"))
 
 
+def totals(df: DataFrame, dims: list[str], sets: list[list[str]], chars: str, distinct: str | None = None) -> DataFrame:
+    """Counts at several levels in one aggregate: dims, level, n, chars, mean_chars, share, and distinct values of a column.
+
+    sets: the levels, each the dims it keeps; level is the grouping id (a bit for each dim that is summed over, the last dim lowest), dims summed over are
+    null, a null value of a dim is ''. share: per cent of all rows, to one digit, if sets holds the level of all. mean_chars is 0 without rows.
+    """
+    d = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in dims], F.length(F.coalesce(chars, F.lit(""))).alias("__c"), F.col(distinct or dims[0]).alias("__d"))
+    counts = [F.count(F.lit(1)).alias("n"), F.sum("__c").alias("chars"), *([F.countDistinct("__d").alias(f"{distinct}s")] if distinct else [])]
+    out = d.groupingSets(sets, *dims).agg(F.grouping_id().alias("level"), *counts)
+    everything = F.max(F.when(F.col("level") == (1 << len(dims)) - 1, F.col("n"))).over(W.partitionBy())  # a row a group
+    return out.withColumns({"mean_chars": F.when(F.col("n") > 0, F.round(F.col("chars") / F.col("n"), 1)).otherwise(0.0), "share": F.round(100 * F.col("n") / everything, 1)})
+
+
 def matrix(df: DataFrame, row: str, column: str, columns: list[str]) -> DataFrame:
     """Counts of row x column with zeros and a total."""
     d = df.groupBy(row).agg(*[F.count_if(F.col(column) == c).alias(c) for c in columns], F.count(F.lit(1)).alias("total"))
