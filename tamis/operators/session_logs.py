@@ -117,11 +117,11 @@ def _collected(items: DataFrame, *keys: str) -> DataFrame:
     return items.groupBy(*keys).agg(F.transform(ordered, lambda m: m["message"]).alias("messages"))
 
 
-def codex(lines: DataFrame) -> DataFrame:
-    """Items under the session last named; texts, reasoning and calls between two other messages become one assistant message."""
+def codex_items(lines: DataFrame) -> DataFrame:
+    """file, at, named (the session that a line opens), block (a piece of an assistant message), other (a message of another role)."""
     d = lines.where(get("type").isin("session_meta", "response_item"))
     named = F.when(get("type") == "session_meta", get("payload.id"))
-    d = scanned(d, ["file"], ["at"], lasts={"session": named}).withColumn("session", F.coalesce("session", F.lit("default"))).where(get("type") == "response_item")
+    item = get("type") == "response_item"
     p = lambda path, kind="string": get(f"payload.{path}", kind)
     texts = lambda path: F.filter(F.transform(F.coalesce(p(path, "array<variant>"), F.array().cast("array<variant>")), lambda b: null_empty(get("text", of=b))), lambda t: t != "")
     said, thought, kind, role = F.array_join(texts("content"), "\n"), F.array_join(texts("summary"), ""), p("type"), p("role")
@@ -135,8 +135,11 @@ def codex(lines: DataFrame) -> DataFrame:
         F.when((kind == "message") & (role == "developer"), message("system", json_text(said))).when((kind == "message") & (role == "user"), message("user", json_text(said)))
         .when(kind.isin("function_call_output", "custom_tool_call_output"), message("tool", F.coalesce(F.to_json(p("output", "variant")), F.lit('""'))))
     )
-    items = d.select("file", "session", "at", own.alias("block"), other.alias("other")).where("block is not null or other is not null")
-    items = scanned(items, ["file", "session"], ["at"], sums={"island": F.col("other").isNotNull().cast("int")})
+    return d.select("file", "at", named.alias("named"), F.when(item, own).alias("block"), F.when(item, other).alias("other"))
+
+
+def codex_sessions(items: DataFrame) -> DataFrame:
+    """items: file, session, at, island, block, other. The blocks of an island are one assistant message."""
     blocks = F.transform(F.array_sort(F.collect_list(F.when(F.col("block").isNotNull(), F.struct("at", "block")))), lambda b: b["block"])
     islands = items.groupBy("file", "session", "island").agg(F.min("at").alias("first"), F.first("other", ignorenulls=True).alias("other"), F.min(F.when(F.col("block").isNotNull(), F.col("at"))).alias("at"), blocks.alias("blocks"))
     single = islands.where("other is not null").select("file", "session", F.col("first").alias("at"), F.col("other").alias("message"))
@@ -144,6 +147,13 @@ def codex(lines: DataFrame) -> DataFrame:
     return _collected(single.unionByName(joined), "file", "session").select("file", "session", F.lit(0).cast("long").alias("line"), "messages")
 
 
+def codex(lines: DataFrame) -> DataFrame:
+    """Items under the session last named; texts, reasoning and calls between two other messages become one assistant message."""
+    d = scanned(codex_items(lines), ["file"], ["at"], lasts={"session": F.col("named")})
+    items = d.withColumn("session", F.coalesce("session", F.lit("default"))).where("block is not null or other is not null")
+    return codex_sessions(scanned(items, ["file", "session"], ["at"], sums={"island": F.col("other").isNotNull().cast("int")}))
+
+
 def pi(lines: DataFrame) -> DataFrame:
     """Messages between two session marks; a later session of the same id is another one. toolCall blocks become tool_use."""
     marks = (get("type") == "session").cast("int")
