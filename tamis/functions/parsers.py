@@ -46,7 +46,8 @@ def marked_options(text: Column) -> Column:
     """'a ) x , b ) y' to (letter, text); a repeated marker 'a ) a ) x' counts once, by its last place."""
     every = pairs(null_empty(text), r"([a-eA-E])\s*\)")
     low = F.transform(every, lambda p: F.struct(F.lower(p["letter"]).alias("letter"), F.regexp_replace(strip(F.regexp_replace(p["text"], r"\s*,?\s*$", "")), ",+$", "").alias("text")))
-    return F.filter(low, lambda p, k: (k == F.size(low) - 1) | (F.try_element_at(low, k + 2)["letter"] != p["letter"]))
+    last = lambda all_: F.filter(all_, lambda p, k: (k == F.size(all_) - 1) | (F.try_element_at(all_, k + 2)["letter"] != p["letter"]))
+    return F.transform(F.array(low), last)[0]  # evaluated once, not for every element
 
 
 def choice_list(field: Column, is_list: Column, items: Column) -> Column:
@@ -65,6 +66,7 @@ def stem_and_options(text: Column, marker: str) -> tuple[Column, Column]:
     return F.when(ok, strip(F.element_at(F.split(text, marker, -1), 1))), F.when(ok, found)
 
 
+# How options are marked in exam papers, after a colon, and within a line.
 PAPER_OPTION = r"(?:^|\n|\s)([A-E])\s*[．.、)]\s*"
 COLON_OPTION = r"(?:^|\s)([A-E])\s*[:：]\s*"
 INLINE_OPTION = r"(?<![A-Za-z0-9])([A-D])[:：]"
@@ -134,9 +136,12 @@ def leaves(c: Column) -> Column:
     return read(c)
 
 
-def template(instruction: Column, values: Column) -> Column:
-    """{{column}} places filled from a map with lower-case keys; empty if one of them has no value."""
+def template(instruction: Column, values: Column, strict: bool = False) -> Column:
+    """{{column}} places filled from a map with lower-case keys; if one of them has no value: empty, or with strict an error that names it."""
     fields = F.array_distinct(F.regexp_extract_all(instruction, F.lit(r"\{\{(\w+)\}\}"), F.lit(1)))
     value = lambda f: null_empty(F.try_element_at(values, F.lower(f)))
     filled = F.aggregate(fields, instruction, lambda a, f: F.replace(a, F.concat(F.lit("{{"), f, F.lit("}}")), value(f)))
-    return F.when(F.exists(fields, lambda f: value(f) == ""), "").otherwise(filled)
+    missing = F.filter(fields, lambda f: value(f) == "")
+    if strict:
+        return F.when(F.size(missing) > 0, F.raise_error(F.concat(F.lit("no value for "), F.array_join(missing, ", ")))).otherwise(filled)
+    return F.when(F.size(missing) > 0, "").otherwise(filled)

@@ -205,6 +205,15 @@ def parallel(first: DataFrame, second: DataFrame, solved: DataFrame) -> DataFram
     return both.select("at", steps.alias("reasoning_steps"), solution.alias("solution"), sides.alias("r")).select("at", "r.*", "reasoning_steps", "solution")
 
 
+def zipped(first: DataFrame, second: DataFrame, order: list[str]) -> DataFrame:
+    """Rows of two tables side by side by their place in an order, as far as both go: at, a, b, and unpaired, the rows that the longer one has more."""
+    side = lambda d: numbered(d.withColumn("everything", F.lit(0)), "everything", order).select("n", F.struct(*d.columns).alias("row"))
+    a, b = side(first), side(second)
+    both = a.select(F.col("n").alias("at"), F.col("row").alias("a")).join(b.select(F.col("n").alias("at"), F.col("row").alias("b")), "at", "full_outer")
+    rest = both.agg(F.count_if(F.col("a").isNull() | F.col("b").isNull()).alias("unpaired"))
+    return both.where("a is not null and b is not null").crossJoin(F.broadcast(rest))  # one row
+
+
 def supplement(solved: DataFrame, used: DataFrame, most_steps: int, n: int, seed: int) -> DataFrame:
     """The n easiest solved rows whose text isn't used yet: by steps, then by a stable number; a smaller n gives a prefix."""
     pool = solved.where((F.col("steps") <= most_steps) & (F.col("final") != "")).join(used.select(norm_question(F.col("question")).alias("key")).distinct(), "key", "left_anti")

@@ -53,9 +53,9 @@ def cleaned(records: DataFrame) -> DataFrame:
 
 
 def first_of_each(df: DataFrame, key: list[Column], order: list) -> DataFrame:
-    """The first row of each key, by partial results: a key that many rows share is no task of its own."""
-    first = F.min_by(F.struct("*"), F.struct(*order)).alias("__r")
-    return df.groupBy(*[k.alias(f"__k{i}") for i, k in enumerate(key)]).agg(first).select("__r.*")
+    """The first row of each key. A window's group limit leaves one row a key and task before the shuffle, so a key that many rows share is no task of its own."""
+    first = F.row_number().over(W.partitionBy(*key).orderBy(*order))
+    return df.select(F.struct("*").alias("row"), first.alias("nth")).where("nth = 1").select("row.*")
 
 
 def stratified(df: DataFrame, group: str, strata: list[str], key: Column, order: str, cap: int, rank: Column | None = None) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tamis.functions.text import detect_lang
 from tamis.operators.scan import scanned
 
 CATEGORIES = ["question", "question-answer", "question-answer-tool-call", "question-multi"]
@@ -107,6 +108,39 @@ def asks(content: Column) -> Column:
     return ~blank & ~results
 
 
+def content_text(content: Column, most: int = 800) -> Column:
+    """The first characters of a content: its text, or its blocks' texts (or contents that are texts) one after the other."""
+    v = F.try_parse_json(content)
+    is_text = lambda b: F.schema_of_variant(b) == "STRING"
+    text_at = lambda b, path: F.when(F.coalesce(is_text(F.try_variant_get(b, path, "variant")), F.lit(False)), F.try_variant_get(b, path, "string"))
+    of = lambda b: F.when(is_text(b), F.try_variant_get(b, "$", "string")).otherwise(F.coalesce(text_at(b, "$.text"), text_at(b, "$.content"), F.lit("")))
+    listed = F.try_variant_get(v, "$", "array<variant>")
+    whole = F.when(listed.isNotNull(), F.array_join(F.transform(listed, of), "")).when(is_text(v), F.try_variant_get(v, "$", "string")).otherwise("")
+    return F.substring(F.coalesce(whole, F.lit("")), 1, most)
+
+
+def bucket_scan(lines: DataFrame, bucket: str = "bucket") -> DataFrame:
+    """lines: bucket, value (a line of session records). One aggregate: bucket, bytes, records, bad_lines, messages, chars, turns, by role
+    users, assistants, tools, systems; thinking and tool_uses (blocks), and zh, en, other (records by the language of the first real question).
+    """
+    row = F.try_parse_json("value")
+    messages = F.coalesce(F.try_variant_get("row", "$.messages", "array<variant>"), F.array().cast("array<variant>"))
+    role = lambda m: F.coalesce(F.try_variant_get(m, "$.role", "string"), F.lit("unknown"))
+    content = lambda m: F.to_json(F.try_variant_get(m, "$.content", "variant"))
+    d = lines.where(F.col("value") != "").select(F.col(bucket).alias("bucket"), (F.octet_length("value") + 1).alias("size"), row.alias("row"))
+    d = d.withColumn("m", F.transform(messages, lambda m: F.struct(role(m).alias("role"), F.coalesce(content(m), F.lit("null")).alias("content"))))
+    m = F.col("m")
+    kinds = lambda kind: F.aggregate(m, F.lit(0), lambda n, x: n + F.size(F.filter(blocks(x["content"]), lambda b: F.coalesce(b["type"] == kind, F.lit(False)))))
+    asked = F.filter(m, lambda x: (x["role"] == "user") & asks(x["content"]))
+    lang = detect_lang(content_text(F.coalesce(F.try_element_at(asked, F.lit(1))["content"], F.lit('""'))))
+    of = lambda name: F.sum(F.size(F.filter(m, lambda x: x["role"] == name)))
+    good = F.col("row").isNotNull()
+    sums = {"messages": F.size(m), "chars": F.aggregate(m, F.lit(0), lambda n, x: n + content_chars(x["content"])), "turns": F.size(asked), "thinking": kinds("thinking"), "tool_uses": kinds("tool_use")}
+    counts = [F.sum("size").alias("bytes"), F.count_if(good).alias("records"), F.count_if(~good).alias("bad_lines"), *[F.sum(c).alias(n) for n, c in sums.items()]]
+    counts += [of(r).alias(f"{r}s") for r in ("user", "assistant", "tool", "system")] + [F.count_if(good & (lang == x)).alias(x) for x in ("zh", "en", "other")]
+    return d.groupBy("bucket").agg(*counts)
+
+
 def content_chars(content: Column) -> Column:
     """Characters of a content: its text, or of each block its text, its content, or its input as JSON."""
     of = lambda b: F.coalesce(*[F.try_variant_get(b, path, "string") for path in ("$.text", "$.content", "$.input")], F.when(F.schema_of_variant(b) == "STRING", F.try_variant_get(b, "$", "string")), F.lit(""))

@@ -64,10 +64,10 @@ def count_lines(spark: SparkSession, path: str) -> int:
 def raw_lines(spark: SparkSession, path: str, root: str = "") -> DataFrame:
     """JSON lines as raw rows: file (below root), at (line from 0), row (VARIANT; null where a line is no JSON). Blank lines go."""
     d = numbered_lines(spark, path).where(F.trim("value") != "")
-    return d.select(_below("file", root).alias("file"), (F.col("line") - 1).alias("at"), F.try_parse_json("value").alias("row"))
+    return d.select(below("file", root).alias("file"), (F.col("line") - 1).alias("at"), F.try_parse_json("value").alias("row"))
 
 
-def _below(column, root: str):
+def below(column, root: str):
     c = F.col(column) if isinstance(column, str) else column
     return F.substring_index(c, root.rstrip("/") + "/", -1) if root else c
 
@@ -78,12 +78,12 @@ def raw_array(spark: SparkSession, path: str, root: str = "", keys: tuple[str, .
     The array is the file itself, the one under the first of keys that holds one, or the first list of the object. Files are read in blocks by many tasks.
     """
     d = json_index.elements(spark, path, keys)
-    return d.select(_below("file", root).alias("file"), F.try_parse_json("top").alias("top"), "at", F.try_parse_json("value").alias("row"))
+    return d.select(below("file", root).alias("file"), F.try_parse_json("top").alias("top"), "at", F.try_parse_json("value").alias("row"))
 
 
 def raw_table(df: DataFrame, file, root: str = "") -> DataFrame:
     """Rows of a CSV or Parquet table as raw rows; file is the column of the path."""
-    return df.select(_below(file, root).alias("file"), F.lit(None).cast("long").alias("at"), F.to_variant_object(F.struct(*[c for c in df.columns if c != file])).alias("row"))
+    return df.select(below(file, root).alias("file"), F.lit(None).cast("long").alias("at"), F.to_variant_object(F.struct(*[c for c in df.columns if c != file])).alias("row"))
 
 
 def arrow_stream(spark: SparkSession, path: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tamis.functions.text import lang_bucket, null_empty
 from tamis.operators.evalset import seq_ids
+from tamis.sources import byte_ranges
 
 KEYS = ("dataset", "category", "task_type", "lang", "split", "question", "answer", "solution", "source_file", "orig_id")
 
@@ -56,9 +57,24 @@ def write_csv(df: DataFrame, path: str, mark: bool = False, columns: list[str] |
     out.write.mode("overwrite").options(header=True, escape='"').csv(path)
 
 
-def lines_to_csv(spark: SparkSession, lines: str, path: str) -> list[str]:
-    """JSON lines as CSV: lines that are no objects go, the header is the union of all keys in the order of their first lines. Returns the header."""
-    rows = spark.read.text(lines).select(F.try_parse_json("value").alias("row"), F.json_object_keys("value").alias("names"), F.monotonically_increasing_id().alias("at"))
+def merge_each(spark: SparkSession, root: str, path: str) -> None:
+    """The JSON lines of each folder below root as one folder of lines, by the folder's path there, in the order of their files' names."""
+    byte_ranges.register(spark)
+    d = spark.read.format("tamis_lines").load(root).where("file like '%.jsonl' and trim(value) <> ''")
+    folder = F.regexp_replace(F.substring_index("file", root.rstrip("/") + "/", -1), r"/?[^/]+$", "")
+    order = ["folder", "file", "offset"]
+    d = d.select(folder.alias("folder"), "file", "offset", "value").repartitionByRange(*order).sortWithinPartitions(*order)
+    d.select("folder", "value").write.mode("overwrite").partitionBy("folder").text(path)
+
+
+def lines_to_csv(spark: SparkSession, lines: str, path: str, bad_rows: str = "drop") -> list[str]:
+    """JSON lines as CSV: lines that are no objects go (or with bad_rows='fail' stop it, by file and line), the header is the union of all keys in the order of their first lines. Returns the header."""
+    if bad_rows == "fail":
+        byte_ranges.register(spark)
+        read = spark.read.format("tamis_lines").options(json=True, errors="strict").load(lines)
+    else:
+        read = spark.read.text(lines)
+    rows = read.select(F.try_parse_json("value").alias("row"), F.json_object_keys("value").alias("names"), F.monotonically_increasing_id().alias("at"))
     rows = rows.where(F.startswith(F.schema_of_variant("row"), F.lit("OBJECT"))).withColumn("m", F.col("row").cast("map<string,string>"))
     keys = rows.select("at", F.posexplode("names").alias("k", "key")).groupBy("key").agg(F.min(F.struct("at", "k")).alias("first"))
     header = [r["key"] for r in keys.orderBy("first").collect()]  # names of columns: as many as the CSV has
