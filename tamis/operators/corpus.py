@@ -1,4 +1,4 @@
-"""One run over a folder of datasets: each sub-folder is read in the form its dataset has, normalised, and united with the others."""
+"""One run over a folder of collections: each sub-folder is read in the form its collection has, normalised, and united with the others."""
 
 from __future__ import annotations
 
@@ -28,7 +28,7 @@ SAMPLE_CHARS = 120
 
 
 def discovered(spark: SparkSession, root: str) -> list[str]:
-    """Names of the folders in root, but for hidden ones: as many as there are datasets."""
+    """Names of the folders in root, but for hidden ones: as many as there are collections."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
     return sorted(s.getPath().getName() for s in found if s.isDirectory() and not s.getPath().getName().startswith((".", "_")))
@@ -57,7 +57,7 @@ def raw(spark: SparkSession, root: str, folder: str, name: str) -> DataFrame:
 
 
 def build(spark: SparkSession, root: str, sides: dict[str, DataFrame] | None = None, only: list[str] | None = None) -> tuple[DataFrame | None, list[str]]:
-    """(records of all datasets below root with reject_reason, names of folders that no dataset has).
+    """(records of all collections below root with reject_reason, names of folders that none has).
 
     sides: by dataset the table that it joins (``SIDES`` names it); a dataset that lacks its own is an error. only: names to take, in any spelling.
     """

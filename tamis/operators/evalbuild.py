@@ -140,7 +140,7 @@ def reasons(records: DataFrame) -> DataFrame:
 
 
 def funnel_totals(steps: DataFrame) -> DataFrame:
-    """The rows of funnel with one for all under the dataset '': sums, its own coverage, and the names of datasets with nothing (none) and with little (low) picked."""
+    """The rows of funnel with one for all under the dataset '': sums, its own coverage, and the names of those with nothing (none) and with little (low) picked."""
     sums = ("raw", "code", "lang", "invalid", "valid", "duplicate", "pool", "train", "usable", "cap", "picked")
     named = lambda band: F.array_join(F.sort_array(F.collect_set(F.when(F.col("band") == band, F.col("dataset")))), ",")
     d = steps.groupingSets([["dataset"], []], "dataset").agg(F.grouping_id().alias("level"), *[F.sum(c).alias(c) for c in sums], named("none").alias("none"), named("low").alias("low"))

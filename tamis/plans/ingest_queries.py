@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tamis.functions import text as T
-from tamis.operators import evalbuild, manifest, plugins, profile, stats, vectors
+from tamis.operators import evalbuild, manifest, plugins, profile, sessions, stats, translation, vectors
 from tamis.operators.evalset import numbered
 from tamis.plans import evalset_queries
 from tamis.plans.catalogue import BUCKET
@@ -223,3 +223,82 @@ def plugin_scores(c):
 def vector_neighbours(e):
     """The ten nearest other vectors of every row whose id is divisible by 50; the tests hold its recall against all pairs."""
     return vectors.neighbours(e, "vec_id", "embedding", F.col("vec_id") % 50 == 0)
+
+
+# --- session records, pairs, policies, fields ---------------------------------------------------
+
+_CONV = "select conv_id, count(*) as n, count(*) filter (role = 'user') as u, count(*) filter (role = 'assistant') as a, count(*) filter (role = 'system') as s, coalesce(sum(length(text)), 0) as chars, count(*) filter (role = 'user' and trim(text) <> '') as turns, arg_min(case when role = 'user' and trim(text) <> '' then text end, turn) as first from conversations group by conv_id"
+
+
+@query(f"""with c as ({_CONV}) select case when u > 1 then 'multi' else 'single' end as bucket, count(*) filter (conv_id % 11 <> 0) as records, count(*) filter (conv_id % 11 = 0) as bad_lines,
+  cast(coalesce(sum(n) filter (conv_id % 11 <> 0), 0) as bigint) as messages, cast(coalesce(sum(chars + 3 * a) filter (conv_id % 11 <> 0), 0) as bigint) as chars, cast(coalesce(sum(turns) filter (conv_id % 11 <> 0), 0) as bigint) as turns,
+  cast(coalesce(sum(a) filter (conv_id % 11 <> 0), 0) as bigint) as tool_uses, cast(coalesce(sum(u) filter (conv_id % 11 <> 0), 0) as bigint) as users, cast(coalesce(sum(s) filter (conv_id % 11 <> 0), 0) as bigint) as systems,
+  count(*) filter (conv_id % 11 <> 0 and coalesce(trim(substr(first, 1, 800)), '') <> '') as en from c group by 1""", "conversations")
+def bucket_scan(c):
+    """Session records, one a line, some of them broken: counts of lines, messages, blocks and languages by bucket in one pass."""
+    m = c.select("conv_id", "turn", "role", F.when(F.col("role") == "assistant", F.to_json(F.array(F.struct(F.lit("text").alias("type"), F.col("text").alias("text"), F.lit(None).cast("string").alias("input")), F.struct(F.lit("tool_use").alias("type"), F.lit(None).cast("string").alias("text"), F.lit("abc").alias("input"))))).otherwise(F.expr("substring(to_json(array(text)), 2, length(to_json(array(text))) - 2)")).alias("content"))
+    line = F.concat(F.lit('{"messages":['), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "content"))), lambda x: F.concat(F.lit('{"role":"'), x["role"], F.lit('","content":'), x["content"], F.lit("}"))), ","), F.when(F.col("conv_id") % 11 != 0, "]}").otherwise(""))
+    lines = m.groupBy("conv_id").agg(line.alias("value"), F.when(F.count_if(F.col("role") == "user") > 1, "multi").otherwise("single").alias("bucket"))
+    return sessions.bucket_scan(lines).select("bucket", "records", "bad_lines", "messages", "chars", "turns", "tool_uses", "users", "systems", "en")
+
+
+@query("""with a as (select doc_id as x, row_number() over (order by doc_id) - 1 as n from documents where lang = 'fr'), b as (select doc_id as y, row_number() over (order by doc_id) - 1 as n from documents where lang = 'de')
+  select a.n as "at", x, y, abs((select count(*) from a) - (select count(*) from b)) as unpaired from a join b using (n)""", "documents")
+def parallel_places(d):
+    """French and German documents side by side by their places, with how many the longer list has more."""
+    out = evalbuild.zipped(d.where("lang = 'fr'").select("doc_id"), d.where("lang = 'de'").select("doc_id"), ["doc_id"])
+    return out.select("at", F.col("a.doc_id").alias("x"), F.col("b.doc_id").alias("y"), "unpaired")
+
+
+def _policy_sql(rank: str) -> str:
+    return f"""{evalset_queries.CHAIN}, pool as (select * exclude (r) from (select *, row_number() over (partition by lang, nq, ch order by dataset, id) as r from good) where r = 1),
+  usable as (select *, md5('{evalset_queries.SEED}::' || dataset || '::' || id) as key, {rank} as sr from pool),
+  one as (select *, row_number() over (partition by dataset, task_type, subject, difficulty, variant order by sr, key, id) as i, count(*) over (partition by dataset, task_type, subject, difficulty, variant) as sn, min(id) over (partition by dataset, task_type, subject, difficulty, variant) as sf from usable),
+  two as (select *, row_number() over (partition by dataset order by i, sn desc, sf) as pick from one)
+  select id, dataset, sp as split, pick from two where pick <= case dataset when 'longbench-data' then 4 when 'CUAD' then 300 else 9 end"""
+
+
+def _policy(d: DataFrame, policy: str) -> DataFrame:
+    pool = evalbuild.deduped(evalbuild.admitted(evalset_queries._records(d)).where("dropped is null"))
+    return evalbuild.picked(pool, evalset_queries.SEED, policy, evalset_queries.CAPS, 9).select("id", "dataset", "split", F.col("pick").cast("long").alias("pick"))
+
+
+@query(_policy_sql("case when sp <> 'train' then 0 else 1 end"), "documents")
+def eval_pick_test_first(d):
+    return _policy(d, "test-first")
+
+
+@query(_policy_sql("0"), "documents")
+def eval_pick_all(d):
+    return _policy(d, "all")
+
+
+@query("""select doc_id, case when doc_id % 4 < 2 then coalesce(trim(replace(replace(text, chr(96), ''), chr(92), ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '') else '' end as bare,
+  array_to_string(list_filter([case when doc_id % 6 in (0, 3) then '孟加拉数字' end, case when doc_id % 6 = 3 then '泰文数字' end], lambda x: x is not null), ',') as kinds from documents""", "documents")
+def text_fences(d):
+    """Texts of the table in code fences of several forms, and numeral systems named."""
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), "[`\\\\]", "")
+    fence = F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit(" ```json\n"), text, F.lit("\n```"))).when(F.col("doc_id") % 4 == 1, F.concat(F.lit("```"), text, F.lit("  ``` ")))
+    kinds = F.expr("case doc_id % 6 when 0 then '৩' when 3 then '7 ১ ๒' when 4 then '12' else null end")
+    return d.select("doc_id", T.without_fence(fence).alias("bare"), F.array_join(T.digit_kinds(kinds), ",").alias("kinds"))
+
+
+@query("""select conv_id, turn, substr(case when conv_id % 3 = 0 then text when conv_id % 3 = 1 then 'a' || text || coalesce(role, '') else '' end, 1, 800) as said from conversations where text is not null""", "conversations")
+def content_texts(c):
+    c = c.where("text is not null")
+    quoted = F.expr("substring(to_json(array(text)), 2, length(to_json(array(text))) - 2)")
+    listed = F.concat(F.lit('["a",{"text":'), quoted, F.lit('},{"input":{"x":1}},{"text":7,"content":"'), F.coalesce("role", F.lit("")), F.lit('"}]'))
+    content = F.when(F.col("conv_id") % 3 == 0, quoted).when(F.col("conv_id") % 3 == 1, listed).otherwise("17")
+    return c.select("conv_id", "turn", sessions.content_text(content).alias("said"))
+
+
+@query("""select doc_id, case when doc_id % 5 = 1 then 'empty_question' else array_to_string(list_filter([case when doc_id % 5 = 2 then 'options_count' end, case when doc_id % 5 = 3 then 'numbers_changed:question' end, case when doc_id % 5 = 2 then 'numbers_changed:options' end,
+  case when doc_id % 7 = 0 then 'numbers_changed:answer' end, case when doc_id % 5 = 4 then 'latex_changed:solution' end], lambda x: x is not null), ',') end as problems from documents""", "documents")
+def translation_all_fields(d):
+    c = lambda e: F.expr(e)
+    source = {"question": c("'Question ' || doc_id || ' of the text'"), "options": c("array('1 a', 'b')"), "answer": c("cast(doc_id as string)"), "solution": c("'so $x$'")}
+    result = {
+        "question": c("case doc_id % 5 when 1 then ' ' when 3 then 'The question 7.77 of a text' else 'The question ' || doc_id || ' of a text' end"), "options": c("case when doc_id % 5 = 2 then array('1 a') || array('2', 'c') else array('1 c', 'd') end"),
+        "answer": c("case when doc_id % 7 = 0 then 'none' else cast(doc_id as string) end"), "solution": c("case when doc_id % 5 = 4 then 'so x' else 'thus $y$' end"),
+    }
+    return d.select("doc_id", F.array_join(translation.all_problems(source, result, F.lit("bn")), ",").alias("problems"))

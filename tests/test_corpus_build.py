@@ -1,4 +1,4 @@
-"""A folder of datasets in one run, and small operators."""
+"""A folder of collections in one run, and small operators."""
 
 import csv
 import io
