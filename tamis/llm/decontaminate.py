@@ -12,7 +12,7 @@ The items' n-grams go to the workers in blocks of at most ``BLOCK`` seeds, whate
 block is one pass over the documents. Whether an n-gram is rare is a ratio within its item, so an item
 that stands in a third of all documents keeps its seeds.
 
-Null or empty texts and items match nothing. Repeated rows are each answered. Items of fewer than
+Null or empty texts and items match nothing; empty tables: no rows. Texts of any length are searched whole; windows of equal score count once, by the score. Repeated rows are each answered. Items of fewer than
 ``N`` words are one seed as a whole. Null ids pass through. Columns beyond those named are ignored.
 """
 

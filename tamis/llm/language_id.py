@@ -8,7 +8,7 @@ training texts. A text goes to the language whose prototype has the highest cosi
 Letters are lower-cased; anything else is one blank between words. Letters beyond a-z
 share ``LETTERS - 27`` codes by hash.
 
-Null texts, and texts without a letter: ``und``, score 0. A null lang is not learned from; with no
+Null texts, and texts without a letter: ``und``, score 0. Of two languages of equal cosine the first by name is taken. Repeated rows are learned from and answered each; an empty table: no rows. A null lang is not learned from; with no
 training rows every text is ``und``. Null ids count as the empty string in the split. Very long texts are bundled in
 pieces. Rows are judged one by one; columns beyond those named are ignored.
 """
@@ -22,13 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm.common import fold, small_batches, table
+from tamis.llm.common import fold, small_batches, table, written
 
 # On 24 invented languages in eight scripts 1,024 dimensions name 98 of 100 texts of four words, 512 name 96, 2,048 name 99.
 DIMENSIONS = 1_024
 LETTERS = 128
 SEED = 7
 PIECE = 4_096
+MOST_LANGS = 1_000  # prototypes go to the driver and to all tasks
 
 
 @functools.cache
@@ -100,7 +101,7 @@ class Trigrams:
 def prototypes(labelled: DataFrame, dimensions: int = DIMENSIONS) -> tuple[list[str], np.ndarray]:
     """labelled: text, lang. Unit prototypes of the languages, from all rows by partial sums in each task.
 
-    The number of languages is that of a label set, so what comes to the driver is small.
+    More than MOST_LANGS languages are an error: then lang is no column of labels.
     """
     small_batches(labelled.sparkSession)
     rows = labelled.where("lang is not null and text is not null").select("lang", "text")
@@ -117,7 +118,10 @@ def prototypes(labelled: DataFrame, dimensions: int = DIMENSIONS) -> tuple[list[
         for lang, total in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * dimensions), pa.array(range(dimensions), type=pa.int32()), pa.array(total, type=pa.float64())], names=["lang", "at", "x"])
 
-    sums = rows.mapInArrow(run, "lang string, at int, x double").groupBy("lang", "at").agg(F.sum("x").alias("x")).toPandas()
+    summed = written(rows.mapInArrow(run, "lang string, at int, x double").groupBy("lang", "at").agg(F.sum("x").alias("x")), "language-sums")
+    if summed.where("at = 0").count() > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
+    sums = summed.toPandas()  # at most MOST_LANGS * dimensions numbers
     langs = sorted(sums["lang"].unique())
     vectors = np.zeros((len(langs), dimensions), dtype=np.float32)
     vectors[np.searchsorted(langs, sums["lang"].to_numpy(dtype=str)) if langs else [], sums["at"].to_numpy(dtype=int)] = sums["x"]

@@ -7,7 +7,7 @@ first and last word, priority, confidence. A detection whose interval lies insid
 another with a higher priority (or the same priority and a longer interval) is suppressed. Everything
 happens within the row: there is no shuffle, and the rule table is a literal.
 
-Columns of the input named n_words, base, found or __d are replaced. Null or empty text: no words, no places, empty labels, score 0. Rows, also
+Columns of the input named n_words, base, found or __d are replaced. Null or empty text: no words, no places, empty labels, score 0. Texts of any length are scanned whole; of detections with equal priority and interval all stay; an empty table: no rows. Rows, also
 repeated ones and null ids, are each answered; columns beyond doc_id and text are ignored.
 """
 

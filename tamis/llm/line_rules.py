@@ -8,7 +8,7 @@ phrase), ``boilerplate`` (a line of at most ``NOTICE_LINE`` words with a consent
 brackets aside). The phrases are given in English, German, French and Spanish. A document is rejected if the
 lost words exceed ``MOST_LOST`` of its words, or if it is below the base limits.
 
-Null or empty text: all counts 0, base_failed true, kept false. Each row is judged on its own, so ties,
+Null or empty text: all counts 0, base_failed true, kept false. An empty table: no rows. Each row is judged on its own, so ties,
 repeated rows, null ids and very long texts need nothing special; columns beyond doc_id and text are ignored.
 """
 

@@ -13,7 +13,7 @@ into narrow bins summed with map-side partial sums, and only the bin in which a
 target is met is ranked row by row.
 
 Nulls: a null text has size 0; null source is a source of its own, ordered last;
-null ids hash as such. Empty table: no rows. Equal rows draw equal numbers and get
+null ids hash as such. Texts of any length count all their words. Empty table: no rows. Equal rows draw equal numbers and get
 equally many copies. Columns other than those named are ignored by ``mix``.
 """
 

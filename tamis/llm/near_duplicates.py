@@ -19,7 +19,7 @@ Bounds, all on work in one task and none on results: a pair with fewer than ``LE
 (at similarity 0.75 48 are expected and fewer than 30 come with a probability of about 3e-7); a class is named by 64
 bits of its set's hash in joins (the last join uses 128), so two sets of 1e9 share a name with a probability of 0.03.
 
-Null or empty texts: no shingles, linked with nothing, component is the own id. Repeated rows and equal texts share
+Texts of any length are compared by all their shingles; ties need nothing special. Null or empty texts: no shingles, linked with nothing, component is the own id. Repeated rows and equal texts share
 a component. A null id counts as the largest: it is a component's id only where all ids are null. Empty table: no rows. Columns
 beyond doc_id and text are ignored.
 """

@@ -6,8 +6,8 @@ least ``LEAST_PAIR`` times. All documents count.
 
 Filter (log-frequency Bloom filter): a count c has level ``1 + floor(2 log2 c)``; a pair is put in once for
 each level up to its own, ``PROBES`` bits each. A reader probes level after level until one is missing, which gives the
-quantised count. Each part has a filter of its own, with ``BITS_EACH`` bits for each insertion counted and at least its share
-of ``2^FILTER_BITS``: the filters grow with the corpus, by the number of parts, and no level is left out. They
+quantised count. Each part has a filter of its own, with ``BITS_EACH`` bits for each insertion counted: the filters
+grow with the corpus, whatever its size an absent pair reads as one with the same chance, and no level is left out. They
 stay with the owners: a batch sends its distinct pairs there and their levels travel back. Pairs travel as the
 ``KEY_BYTES`` bytes of their hashes after the part's bits, words as whole hashes.
 
@@ -17,7 +17,7 @@ Score: log10 of ``p(w | v) = (min(c(vw), c(v)) + MU * p(w)) / (c(v) + MU)`` over
 Base score: the unigram formula alone. Words that make up at least ``1 / FREQUENT`` of all tokens (so at most
 FREQUENT words) are looked up in the tasks; the others travel with the pairs to the owners of their counts.
 
-Null or empty text: one token, the end. Repeated rows count as often as they stand there. Null ids count as
+Null or empty text: one token, the end; an empty table: no rows; long texts are counted and scored whole; equal scores stand as they are. Repeated rows count as often as they stand there. Null ids count as
 the empty string in the split. An empty training fold gives N = V = 0 and uniform scores. Columns
 beyond doc_id and text are ignored.
 """
@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 from tamis.llm.common import MIX_1, MIX_2, WordHashes, fold, mixed, small_batches, table, written
 
 LEAST_PAIR = 1
-FILTER_BITS = 27  # log2, of all parts together, at least
 BITS_EACH, PROBES = 10, 3
 KEY_BYTES = 5  # two of a part's pairs meet once in 10^12
 LEVELS = 127  # counts up to 2^63
@@ -61,7 +60,8 @@ def level_counts() -> np.ndarray:
 
 def bit_places(h: np.ndarray, step: int, probe: int, bits: int) -> np.ndarray:
     """Place of one probe of n-grams at a level in a filter of so many bits."""
-    return (mixed(h + np.uint64(step * PROBES + probe) * MIX_1) % np.uint64(bits)).astype(np.int64)
+    salt = np.uint64((step * PROBES + probe) * int(MIX_1) % (1 << 64))
+    return (mixed(h + salt) % np.uint64(bits)).astype(np.int64)
 
 
 def packed(h: np.ndarray, log2_parts: int) -> bytes:
@@ -76,9 +76,9 @@ def unpacked(keys: bytes, part: int, log2_parts: int) -> np.ndarray:
     return out.view("<u8")[:, 0] >> np.uint64(log2_parts) | np.uint64(part << 64 - log2_parts)
 
 
-def filter_of(h: np.ndarray, levels: np.ndarray, bits_each: int, least_bits: int) -> bytes:
+def filter_of(h: np.ndarray, levels: np.ndarray, bits_each: int) -> bytes:
     """The filter of n-grams with these levels, sized by their insertions."""
-    bits = max(8, least_bits, int(levels.sum()) * bits_each) + 7 & ~7
+    bits = max(8, int(levels.sum()) * bits_each) + 7 & ~7
     own = np.zeros(bits, dtype=bool)
     for step in range(1, int(levels.max(initial=0)) + 1):
         h, levels = h[levels >= step], levels[levels >= step]
@@ -109,7 +109,7 @@ def _parts(spark: SparkSession, docs: DataFrame) -> int:
 
 def counted(docs: DataFrame, log2_parts: int) -> DataFrame:
     """docs: text, held_out. Rows by part and kind: 1 words with packed hashes, trained, held (sorted by hash); 2 the filter of the pairs."""
-    bits_each, least_bits = BITS_EACH, (1 << FILTER_BITS) >> log2_parts
+    bits_each = BITS_EACH
 
     def run(batches):
         words = WordHashes()
@@ -172,7 +172,7 @@ def counted(docs: DataFrame, log2_parts: int) -> DataFrame:
         h = h[starts]
         if key[1] == 2:
             keep = trained >= LEAST_PAIR
-            row = (*key, b"", b"", b"", filter_of(h[keep], level(trained[keep]), bits_each, least_bits), 0, 0, 0)
+            row = (*key, b"", b"", b"", filter_of(h[keep], level(trained[keep]), bits_each), 0, 0, 0)
         else:
             row = (*key, h.tobytes(), trained.astype("<i8").tobytes(), rest.astype("<i8").tobytes(), b"", int(trained.sum()), int((trained > 0).sum()), int((trained + rest).sum()))
         kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64())

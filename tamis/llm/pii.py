@@ -8,7 +8,7 @@ carries label O whatever stands around it: ``Crf.safe`` proves from the weights
 exceeds any gain by transitions. Every word's features are looked up; only the stretches around words of other shapes go through
 Viterbi, with the same result, and where the proof fails whole texts do.
 
-Base spans stay; CRF spans that overlap none of them are added. Null or empty text: no spans.
+Base spans stay; CRF spans that overlap none of them are added. Null or empty text: no spans; texts of any length are searched whole; an empty table: no rows.
 Every row is answered by itself, so repeated rows, ties and null ids need nothing special;
 columns beyond doc_id and text are ignored.
 """

@@ -13,7 +13,7 @@
 
 Inputs of a score are the text alone. Rows in the held-out fold teach nothing. Null or empty text
 is scored like any (its rates are 0). Without training rows of both classes every score
-is 0. Repeated ids in the labels: toxic if any row says so; null labels are left out; null ids have no label and
+is 1 / (1 + e^40), next to 0. Texts of any length are scored whole, an empty table gives no rows, equal scores need nothing special. Repeated ids in the labels: toxic if any row says so; null labels are left out; null ids have no label and
 count as the empty string in the split. Columns beyond those named are ignored.
 """
 

@@ -402,3 +402,11 @@ def test_toxicity_scores_against_brute_force(spark):
 @pytest.mark.parametrize("schema", [DOCS])
 def test_schema_is_that_of_documents(spark, schema):
     assert frame(spark).columns == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").columns
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_LANGS", 2)
+    rows = [(k, "some words", f"l{k % 3}", "s", 1) for k in range(9)]
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        language_id.prototypes(frame(spark, rows))
+    assert len(language_id.prototypes(frame(spark, rows[:2]))[0]) == 2
