@@ -172,3 +172,81 @@ def test_contaminated_documents_by_plain_alignment(spark):
             elif high < decontaminate.LEAST:
                 assert (doc, item) not in got
     assert sure >= 30
+
+
+# --- the pipeline, stage after stage ----------------------------------------------------------------
+
+
+def plain_groups(docs):
+    """Smallest id of each document's group of near copies, by all pairs of shingle sets."""
+    sets = {}
+    for k, text in docs.items():
+        w = split(text.lower())
+        sets[k] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    group = {k: {k} for k in docs}
+    for a in docs:
+        for b in docs:
+            shared = len(sets[a] & sets[b])
+            if a < b and shared and 100 * shared >= 75 * (len(sets[a]) + len(sets[b]) - shared) and group[a] is not group[b]:
+                group[a] |= group[b]
+                for k in group[b]:
+                    group[k] = group[a]
+    return {k: min(g) for k, g in group.items()}
+
+
+def test_pipeline_against_plain_stages(spark, tmp_path):
+    import duckdb
+    import pandas as pd
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from tamis.llm import oracles, token_ids
+
+    rng = random.Random(31)
+    items = [(k, " ".join(f"item{rng.randrange(500)}" for _ in range(20 + 4 * k))) for k in range(4)]
+    bad, docs, labels = [f"vile{k}ness" for k in range(8)], {}, []
+    for k in range(170):
+        words = [f"w{rng.randrange(400)}" for _ in range(rng.randrange(20, 90))]
+        toxic = int(k % 5 == 1)
+        if toxic:
+            for _ in range(rng.randrange(5, 10)):
+                words.insert(rng.randrange(len(words)), rng.choice(bad))
+        if k % 17 == 2:
+            words[5:5] = items[k % 4][1].split()
+        if k % 11 == 3 and k > 11:
+            words = split(docs[k - 11]) + ["more"]
+        docs[k] = " ".join(words)
+        labels.append((k, toxic))
+    source = {k: ["a", "b", "c", None][k % 4] for k in docs}
+    frame(spark, [(k, t, "en", source[k], len(t)) for k, t in docs.items()]).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, toxic int").coalesce(1).write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").coalesce(1).write.parquet(str(tmp_path / "benchmark.parquet"))
+
+    weight, bias = plain_model([(docs[k], t) for k, t in labels if zlib.crc32(str(k).encode()) % 5])
+    rate = lambda text: bias + 100 * sum(weight.get(f, 0.0) for w in split(text) for f in plain_features(w)) / (len(split(text)) + 40)
+    kept = {k: t for k, t in docs.items() if rate(t) < 0}
+    assert 100 < len(kept) < len(docs)
+    groups = plain_groups(kept)
+    once = {k: t for k, t in kept.items() if groups[k] == k}
+    assert len(once) < len(kept)
+    clean = {}
+    for k, t in once.items():
+        shares = [[x / len(split(i)) for x in smith_waterman(split(i), split(t))] for _, i in items]
+        assert all(low >= decontaminate.LEAST or high < decontaminate.LEAST for low, high in shares)
+        if all(high < decontaminate.LEAST for _, high in shares):
+            clean[k] = t
+    assert len(clean) < len(once)
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame([(k, t, source[k]) for k, t in clean.items()], columns=["doc_id", "text", "source"]))
+    cursor = con.execute(oracles.mixing_sql())
+    names = [c[0] for c in cursor.description]
+    copies = {r[names.index("doc_id")]: r[names.index("copies")] for r in cursor.fetchall()}
+    assert {0, 1, 2} <= set(copies.values())
+    encode, start, want = Tokenizer.from_file(token_ids.default_tokenizer()), 0, []
+    for k in sorted(clean):
+        for _ in range(copies[k]):
+            ids = [*encode.encode(clean[k], add_special_tokens=False).ids, 1]
+            want.append((k, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+            start += len(ids)
+    got = sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    assert got == want
