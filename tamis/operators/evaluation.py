@@ -67,19 +67,24 @@ def widened(rows: DataFrame, long: DataFrame, ids: list[str], names: list[str],
 
     A column of a candidate stands there whether it has values or not; missing values are null.
     """
+    fields = [c for c in long.columns if c not in (*ids, "candidate", "referee")]
+
+    def cell(field: str, full: str, name: str, referee: str | None = None) -> Column:
+        if field not in fields:
+            return F.lit(None).cast("string").alias(full)
+        own = F.filter("cells", lambda x: (x["candidate"] == name) & F.equal_null(x["referee"], F.lit(referee).cast("string")))
+        return F.array_max(F.transform(own, lambda x: x[field])).alias(full)
+
     picks = []
     for name in names:
         for full in family(name, record):
-            field = full.removesuffix(f"_{slug(name)}")
-            own = (F.col("candidate") == name) & F.col("referee").isNull()
-            picks.append((F.max(F.when(own, F.col(field))) if field in long.columns else F.lit(None).cast("string")).alias(full))
+            picks.append(cell(full.removesuffix(f"_{slug(name)}"), full, name))
     for name in names:
         for referee in referees:
             for full in judged(referee, name):
-                field = full.removesuffix(f"_{slug(referee)}_{slug(name)}")
-                own = (F.col("candidate") == name) & (F.col("referee") == referee)
-                picks.append((F.max(F.when(own, F.col(field))) if field in long.columns else F.lit(None).cast("string")).alias(full))
-    wide = long.groupBy(*ids).agg(*picks)
+                picks.append(cell(full.removesuffix(f"_{slug(referee)}_{slug(name)}"), full, name, referee))
+    # A list of a row's few cells: no sort of the long rows, as maxima of texts would need.
+    wide = long.groupBy(*ids).agg(F.collect_list(F.struct("candidate", "referee", *fields)).alias("cells")).select(*ids, *picks)
     return rows.join(wide, ids, "left").select(*rows.columns, *[c for c in wide.columns if c not in ids])
 
 

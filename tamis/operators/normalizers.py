@@ -198,9 +198,14 @@ def _mmath():
     return open_qa(text("question"), text("answer"), orig_id=F.coalesce(get("gid"), F.col("at").cast("string")), metadata=rest("question", "answer")) | {"lang": stem()}
 
 
-@dataset("mathqa", "math")
+def _with_options(raw: DataFrame) -> DataFrame:
+    """Options as a column of their own, so that they are read once."""
+    return raw.withColumn("found", P.marked_options(get("options")))
+
+
+@dataset("mathqa", "math", _with_options)
 def _mathqa():
-    found, letter = P.marked_options(get("options")), F.lower(strip(get("correct")))
+    found, letter = F.col("found"), F.lower(strip(get("correct")))
     texts = F.transform(found, lambda o: o["text"])
     first = F.try_element_at(F.filter(found, lambda o: o["letter"] == letter), F.lit(1))["text"]
     return open_qa(text("Problem"), first, task_type=F.lit("mcq"), options=texts, solution=text("Rationale"), split=stem(), metadata=rest("Problem", "options", "correct", "Rationale", answer_letter=letter, choices=texts), reject={"empty_problem": strip(text("Problem")) == "", "no_options": F.size(found) == 0})
