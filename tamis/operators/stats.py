@@ -50,7 +50,9 @@ def totals(df: DataFrame, dims: list[str], sets: list[list[str]], chars: str, di
     counts = [F.count(F.lit(1)).alias("n"), F.sum("__c").alias("chars"), *([F.countDistinct("__d").alias(f"{distinct}s")] if distinct else [])]
     out = d.groupingSets(sets, *dims).agg(F.grouping_id().alias("level"), *counts)
     everything = F.max(F.when(F.col("level") == (1 << len(dims)) - 1, F.col("n"))).over(W.partitionBy())  # a row a group
-    return out.withColumns({"mean_chars": F.when(F.col("n") > 0, F.round(F.col("chars") / F.col("n"), 1)).otherwise(0.0), "share": F.round(100 * F.col("n") / everything, 1)})
+    out = out.withColumn("__all", everything)
+    tenths = lambda a, b: F.expr(f"((20 * {a} + {b}) div (2 * {b})) / 10.0D")  # noqa: E731  # of whole numbers, halves up, exactly
+    return out.withColumns({"mean_chars": F.when(F.col("n") > 0, tenths("chars", "n")).otherwise(0.0), "share": tenths("(100 * n)", "__all")}).drop("__all")
 
 
 def matrix(df: DataFrame, row: str, column: str, columns: list[str]) -> DataFrame:

@@ -13,7 +13,7 @@ from tamis.operators import evalbuild, manifest, plugins, profile, sessions, sta
 from tamis.operators.evalset import numbered
 from tamis.plans import evalset_queries
 from tamis.plans.catalogue import BUCKET
-from tamis.scratch import scratch_folder
+from tamis.scratch import scratch_folder, written
 from tamis.sources import export
 from tamis.sources.byte_ranges import register
 from tamis.sources.json_index import elements
@@ -96,7 +96,8 @@ def array_elements(d):
     last = placed.groupBy("file").agg(F.max("at").alias("last"))
     # Lines that make up one array a file: the first opens it, every other begins with a comma.
     lines = placed.join(last, "file").select("file", "at", F.concat(F.when(F.col("at") == 0, "[").otherwise(","), "j", F.when(F.col("at") == F.col("last"), "]").otherwise("")).alias("value"))
-    lines.repartition("file").sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").text(path)
+    # Written first: behind the join the repartition counts as done, and the join may become a broadcast.
+    written(lines, "array-lines").repartition("file").sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").text(path)
     v = F.from_json("value", "doc_id long, text string")
     return elements(spark, path, block=1 << 18).select(F.regexp_extract("file", r"file=([^/]*)/", 1).alias("file"), "at", v["doc_id"].alias("doc_id"), v["text"].alias("text"))
 
@@ -105,7 +106,7 @@ def array_elements(d):
 
 
 @query(f"""with d as (select {BUCKET} as bucket, coalesce(source, '') as source, lang, length(coalesce(text, '')) as c from documents)
-  select source, bucket, grouping(source, bucket) as level, count(*) as n, cast(sum(c) as bigint) as chars, count(distinct lang) as langs, round(sum(c) / count(*), 1) as mean_chars, round(100 * (count(*) / (select count(*) from d)), 1) as share
+  select source, bucket, grouping(source, bucket) as level, count(*) as n, cast(sum(c) as bigint) as chars, count(distinct lang) as langs, ((20 * cast(sum(c) as bigint) + count(*)) // (2 * count(*))) / 10.0 as mean_chars, ((2000 * count(*) + (select count(*) from d)) // (2 * (select count(*) from d))) / 10.0 as share
   from d group by grouping sets ((source, bucket), (source), (bucket), ())""", "documents")
 def source_totals(d):
     d = d.select("source", T.lang_bucket(F.col("lang")).alias("bucket"), "lang", "text")
