@@ -182,7 +182,10 @@ class Lines(DataSource):
 
 
 class Ranges(DataSource):
-    """Byte ranges of files, one a row and task: file, start, end, size."""
+    """Byte ranges of files, one a row: file, start, end. A task takes neighbouring ones.
+
+    Options: block (bytes of a range), tasks (how many tasks at least, if there are so many ranges; a task has about BLOCK bytes of files at most, or one range).
+    """
 
     @classmethod
     def name(cls):
@@ -195,10 +198,25 @@ class Ranges(DataSource):
         return RowOfRange(self.options)
 
 
+@dataclass
+class Several(InputPartition):
+    ranges: list[Range]
+
+
 class RowOfRange(RangeReader):
-    def read(self, partition: Range):
-        if partition.end:
-            yield partition.file, partition.start, partition.end
+    def __init__(self, options: dict):
+        super().__init__(options)
+        self.tasks = int(options.get("tasks") or 1)
+
+    def partitions(self):
+        ranges = super().partitions()
+        n = min(len(ranges), max(self.tasks, -(-sum(r.end - r.start for r in ranges) // BLOCK)))
+        return [Several(ranges[len(ranges) * k // n : len(ranges) * (k + 1) // n]) for k in range(n)]
+
+    def read(self, partition: Several):
+        for r in partition.ranges:
+            if r.end:
+                yield r.file, r.start, r.end
 
 
 def json_rows(rows: list[dict]) -> list[str]:

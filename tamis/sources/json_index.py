@@ -2,7 +2,7 @@
 
 A block doesn't know whether it begins within a string, so it gives both answers: its unescaped quotes, and its net depth if it begins outside
 or inside one. Running sums of these narrow rows (one a block) fix where each block stands; then every task finds the commas at the array's depth in
-its own block and reads the elements that begin after them, the last one on into the blocks that follow. A file of any size is dealt to many tasks; an element is
+its own blocks and reads the elements that begin after them, the last one on into the blocks that follow. A file of any size is dealt to many tasks; an element is
 one value, and the outer object's fields besides the array are one value.
 """
 
@@ -16,25 +16,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tamis.scratch import written
 from tamis.sources.byte_ranges import Batches, opened, register
 
 BLOCK = 4 << 20
+AHEAD = 1 << 14  # bytes first read behind a block, for the element that goes on there
 QUOTE, BACKSLASH, COMMA, COLON, OPEN, CLOSE = 34, 92, 44, 58, (91, 123), (93, 125)
 KEYS = ("example", "examples", "test", "data", "questions")
 BLANKS = b" \t\r\n"
+STEP = np.zeros(256, np.int64)
+STEP[list(OPEN)], STEP[list(CLOSE)] = 1, -1
+COUNTS = STEP != 0
+COUNTS[[QUOTE, BACKSLASH, COMMA, COLON]] = True
+BLANK = np.isin(np.arange(256), list(BLANKS + b"\xef\xbb\xbf"))
 
 
-def steps(a: np.ndarray, inside: int, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(whether a byte stands outside strings, its step of depth, unescaped quotes). run: backslashes just before the bytes."""
-    i = np.arange(len(a), dtype=np.int32)
-    last = np.maximum.accumulate(np.where(a != BACKSLASH, i, -1))
-    before = np.empty(len(a), np.int32)
-    if len(a):
-        before[0], before[1:] = run, i[:-1] - last[:-1] + np.where(last[:-1] < 0, run, 0)
-    quotes = (a == QUOTE) & (before & 1 == 0)
-    outside = ((np.cumsum(quotes, dtype=np.int32) + inside) & 1 == 0) & (a != QUOTE)
-    step = (outside & np.isin(a, OPEN)).astype(np.int8) - (outside & np.isin(a, CLOSE)).astype(np.int8)
-    return outside, step, quotes
+def structure(a: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(places of commas, colons and brackets, these bytes, whether an odd number of quotes stands before each, unescaped quotes). run: backslashes just before the bytes.
+
+    Only the few bytes that count are looked at, not every byte of the texts between.
+    """
+    i = np.flatnonzero(COUNTS[a])
+    c = a[i]
+    k = np.arange(len(i))
+    chained = np.zeros(len(i), bool)  # a backslash stands just before
+    chained[1:] = (c[:-1] == BACKSLASH) & (i[1:] == i[:-1] + 1)
+    begun = np.maximum.accumulate(np.where(chained, 0, k))
+    before = k - begun + np.where(i[begun] == 0, run, 0)
+    quotes = (c == QUOTE) & (before & 1 == 0)
+    odd = (np.cumsum(quotes) & 1).astype(bool)
+    kept = (c != QUOTE) & (c != BACKSLASH)
+    return i[kept], c[kept], odd[kept], int(quotes.sum())
+
+
+def outside(a: np.ndarray, inside: int, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(places of commas, colons and brackets outside strings, these bytes, their steps of depth, unescaped quotes) of bytes that begin within a string or not."""
+    i, c, odd, quotes = structure(a, run)
+    own = odd == bool(inside)
+    return i[own], c[own], STEP[c[own]], quotes
 
 
 def backslashes_before(f: pa.NativeFile, start: int) -> int:
@@ -61,6 +80,18 @@ def _rows(batches):
         yield from zip(*(c.to_pylist() for c in b.columns), strict=True)
 
 
+def tasks(spark: SparkSession) -> int:
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def dealt_out(blocks: DataFrame) -> DataFrame:
+    """Blocks dealt to all tasks: their rows are so few bytes that Spark would hand all of them to one, whatever files they stand for.
+
+    Not by columns: behind a join by the same ones that counts as done, and the join's tasks become one.
+    """
+    return blocks.repartition(tasks(blocks.sparkSession))
+
+
 def states(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame:
     """file, start, end, inside, depth: how each block begins; first: the file's first byte that isn't blank, where it stands in the block."""
     schema = pa.schema([("file", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("quotes", pa.int64()), ("flat", pa.int64()), ("quoted", pa.int64()), ("first", pa.string()), ("spot", pa.int64())])
@@ -70,14 +101,15 @@ def states(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame:
         for file, start, end in _rows(batches):
             with opened(file) as f:
                 a, before = block_of(f, start, end)
-            seen = np.flatnonzero(~np.isin(a, list(BLANKS + b"\xef\xbb\xbf")))
-            first, spot = (chr(a[seen[0]]), start + int(seen[0])) if len(seen) else (None, None)
-            _, flat, quotes = steps(a, 0, before)
-            yield from out.add((file, start, end, int(quotes.sum()), int(flat.sum()), int(steps(a, 1, before)[1].sum()), first, spot), 100)
+            blank = BLANK[a]
+            seen = int(np.argmin(blank)) if len(a) else 0
+            first, spot = (chr(a[seen]), start + seen) if len(a) and not blank[seen] else (None, None)
+            _, c, odd, quotes = structure(a, before)
+            yield from out.add((file, start, end, quotes, int(STEP[c[~odd]].sum()), int(STEP[c[odd]].sum()), first, spot), 100)
         yield out.out()
 
     register(spark)
-    d = spark.read.format("tamis_ranges").option("block", block).load(path).mapInArrow(run, "file string, start long, end long, quotes long, flat long, quoted long, first string, spot long")
+    d = spark.read.format("tamis_ranges").options(block=block, tasks=tasks(spark)).load(path).mapInArrow(run, "file string, start long, end long, quotes long, flat long, quoted long, first string, spot long")
     before = W.partitionBy("file").orderBy("start").rowsBetween(W.unboundedPreceding, -1)  # a row for each block
     d = d.withColumn("inside", (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2).cast("int"))
     d = d.withColumn("step", F.when(F.col("inside") == 1, F.col("quoted")).otherwise(F.col("flat")))
@@ -94,11 +126,11 @@ def outer(blocks: DataFrame, keys: tuple[str, ...]) -> DataFrame:
         for file, start, end, inside, depth in _rows(batches):
             with opened(file) as f:
                 a, run = block_of(f, start, end)
-            outside, step, _ = steps(a, inside, run)
-            after = depth + np.cumsum(step, dtype=np.int64)
-            upper = outside & (((after == 1) & np.isin(a, (COMMA, COLON))) | ((step > 0) & (after <= 2)) | ((step < 0) & (after <= 1)))
-            for i in np.flatnonzero(upper).tolist():
-                yield from out.add((file, start + i, int(a[i])), 20)
+            places, c, step, _ = outside(a, inside, run)
+            after = depth + np.cumsum(step)
+            upper = ((after == 1) & (step == 0)) | ((step > 0) & (after <= 2)) | ((step < 0) & (after <= 1))
+            for i, mark in zip(places[upper].tolist(), c[upper].tolist(), strict=True):
+                yield from out.add((file, start + i, mark), 20)
         yield out.out()
 
     def chosen(batches):
@@ -129,38 +161,37 @@ def outer(blocks: DataFrame, keys: tuple[str, ...]) -> DataFrame:
                     yield from out.add((file, took[1], took[2], 2, top), len(top))
         yield out.out()
 
-    d = blocks.where("first = '{'").select("file", "start", "end", "inside", "depth").mapInArrow(marks, "file string, at long, mark int")
+    d = dealt_out(blocks.where("first = '{'").select("file", "start", "end", "inside", "depth")).mapInArrow(marks, "file string, at long, mark int")
     return d.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("at", "mark"))).alias("found")).mapInArrow(chosen, "file string, low long, high long, level long, top string")
 
 
 def found_in(f: pa.NativeFile, start: int, end: int, inside: int, depth: int, low: int, high: int, level: int, whole: bool):
     """Elements that begin after a bracket or comma of this block: their number, or with whole their texts."""
     a, run = block_of(f, start, end)
-    outside, step, _ = steps(a, inside, run)
-    after = depth + np.cumsum(step, dtype=np.int64)
-    places = start + np.arange(len(a))
-    inner = (places > low) & (places < high)
-    at = np.flatnonzero((outside & (a == COMMA) & (after == level) & inner) | (places == low))
+    i, c, step, quotes = outside(a, inside, run)
+    after = depth + np.cumsum(step)
+    places = start + i
+    comma = (c == COMMA) & (after == level) & (places > low) & (places < high)
+    at = i[comma | (places == low)]
     if not whole:
         return len(at)
-    ends = np.flatnonzero((outside & (a == COMMA) & (after == level) & inner) | ((step < 0) & (after == level - 1) & (places > low) & (places <= high)))
+    ends = i[comma | ((step < 0) & (after == level - 1) & (places > low) & (places <= high))]
     data, out = a.tobytes(), []
-    for i in at.tolist():
-        k = np.searchsorted(ends, i + 1)
+    for n, k in zip(at.tolist(), np.searchsorted(ends, at + 1).tolist(), strict=True):
         if k < len(ends):
-            out.append(data[i + 1 : int(ends[k])])
+            out.append(data[n + 1 : int(ends[k])])
             continue
-        pieces, now, open_, deep = [data[i + 1 :]], end, inside ^ (int(steps(a, 0, run)[2].sum()) & 1), int(after[-1])
-        while now < f.size():  # the last one goes on in later blocks
-            b, before = block_of(f, now, min(now + BLOCK, f.size()))
-            out_b, step_b, quotes = steps(b, open_, before)
-            after_b = deep + np.cumsum(step_b, dtype=np.int64)
-            stop = np.flatnonzero((out_b & (b == COMMA) & (after_b == level)) | ((step_b < 0) & (after_b == level - 1)))
+        pieces, now, open_, deep, size, piece = [data[n + 1 :]], end, inside ^ (quotes & 1), int(after[-1]), f.size(), AHEAD
+        while now < size:  # the last one goes on in later blocks: pieces that grow, as its end is mostly near
+            b, before = block_of(f, now, min(now + piece, size))
+            i_b, c_b, step_b, quotes_b = outside(b, open_, before)
+            after_b = deep + np.cumsum(step_b)
+            stop = i_b[((c_b == COMMA) & (after_b == level)) | ((step_b < 0) & (after_b == level - 1))]
             if len(stop):
                 pieces.append(b[: stop[0]].tobytes())
                 break
             pieces.append(b.tobytes())
-            now, open_, deep = now + len(b), open_ ^ (int(quotes.sum()) & 1), int(after_b[-1])
+            now, open_, deep, piece = now + len(b), open_ ^ (quotes_b & 1), int(after_b[-1]) if len(after_b) else deep, min(2 * piece, BLOCK)
         out.append(b"".join(pieces))
     return out
 
@@ -171,9 +202,9 @@ def elements(spark: SparkSession, path: str, keys: tuple[str, ...] = KEYS, block
     The array is the file itself, the one under the first of keys that holds one, or the first of the outer object's. Files of anything else give no
     rows; an element that is no JSON is a row with its text; an array without elements gives none.
     """
-    blocks = states(spark, path, block)
+    blocks = written(states(spark, path, block), "json-blocks")  # read more than once below: narrow rows, one a block
     arrays = blocks.where("first = '[' and spot >= start and spot < end").select("file", F.col("spot").alias("low"), F.lit((1 << 63) - 1).alias("high"), F.lit(1).cast("long").alias("level"), F.lit(None).cast("string").alias("top"))
-    held = arrays.unionByName(outer(blocks, keys))
+    held = written(arrays.unionByName(outer(blocks, keys)), "json-arrays")  # a row a file
     dealt = blocks.select("file", "start", "end", "inside", "depth").join(held, "file").where("end > low and start <= high")
 
     def counted(batches):
@@ -193,9 +224,8 @@ def elements(spark: SparkSession, path: str, keys: tuple[str, ...] = KEYS, block
         yield out.out()
 
     columns = ["file", "start", "end", "inside", "depth", "low", "high", "level"]
-    counts = dealt.select(*columns).mapInArrow(counted, "file string, start long, n long")
+    counts = dealt_out(dealt.select(*columns)).mapInArrow(counted, "file string, start long, n long")
     before = F.coalesce(F.sum("n").over(W.partitionBy("file").orderBy("start").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     counts = counts.withColumn("first", before).where("n > 0")
     full = dealt.join(counts, ["file", "start"]).select(*columns, "first", "top")
-    # A block a task, however few rows that is.
-    return full.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "file", "start").mapInArrow(read, "file string, at long, value string, top string")
+    return dealt_out(full).mapInArrow(read, "file string, at long, value string, top string")

@@ -6,6 +6,7 @@ import json
 import random
 import zipfile
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -113,3 +114,67 @@ def test_members_of_archives(spark, tmp_path):
     got = sorted((r["file"].removeprefix(f"{tmp_path}/"), r["at"], json.loads(r["j"])) for r in d.select("file", "at", F.to_json("row").alias("j")).collect())
     assert [x[:2] for x in got] == [(f"z{n}.zip!dev/m{k}.csv", j) for n in range(3) for k in range(3) for j in range(50)]
     assert got[1][2] == {"q": 'say "1",\n0', "id": "0"}
+
+
+def test_blocks_of_an_array_are_found_once_and_dealt_out(spark, tmp_path, capsys):
+    path = tmp_path / "many.json"
+    path.write_text(json.dumps([{"k": k, "t": 'a\\"[,' * 20} for k in range(2_000)]))
+    byte_ranges.register(spark)
+    ranges = spark.read.format("tamis_ranges").options(block=1_000, tasks=4).load(str(path))
+    rows = [tuple(r)[1:] for r in ranges.orderBy("start").collect()]
+    assert rows == [(k, min(k + 1_000, path.stat().st_size)) for k in range(0, path.stat().st_size, 1_000)]
+    assert ranges.rdd.getNumPartitions() == 4  # not a task for each of the hundreds of blocks
+    d = json_index.elements(spark, str(path), block=1_000)
+    assert sorted(json.loads(r["value"])["k"] for r in d.collect()) == list(range(2_000))
+    joins = {spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), "-1"}
+    for size in joins:  # whichever join stands before
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+        try:
+            d = json_index.elements(spark, str(path), block=1_000)
+            assert d.select(F.spark_partition_id()).distinct().count() == 4
+            capsys.readouterr()
+            json_index.elements(spark, str(path), block=1_000).explain()
+            plan = capsys.readouterr().out
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert plan.count("tamis_ranges") == 0  # the states of the blocks aren't worked out again wherever they are used
+        assert plan.count("REPARTITION_BY_NUM") == 2  # before counts and elements: none is left to one task
+
+
+def test_the_element_behind_a_block_costs_little(tmp_path):
+    path = tmp_path / "f.json"
+    path.write_text("[" + ",".join(json.dumps("x" * 90) for _ in range(20_000)) + "]")
+    taken = []
+
+    class Counted:
+        def __init__(self, f):
+            self.f = f
+
+        def read(self, n):
+            taken.append(n)
+            return self.f.read(n)
+
+        def __getattr__(self, name):
+            return getattr(self.f, name)
+
+    with byte_ranges.opened(str(path)) as f:
+        got = json_index.found_in(Counted(f), 0, 1_000, 0, 0, 0, (1 << 63) - 1, 1, True)
+    assert [json.loads(x) for x in got] == ["x" * 90] * 11
+    assert sum(taken) < 100_000  # of 1.9 MB
+
+
+def test_structure_of_blocks_is_that_of_bytes():
+    rng = random.Random(5)
+    for _ in range(400):
+        text = bytes(rng.choice(b'\\\\\\""[]{},: a') for _ in range(rng.randrange(40)))
+        run, inside = rng.randrange(3), rng.randrange(2)
+        want, slashes, now = [], run, inside
+        for k, b in enumerate(text):
+            if b == 34 and slashes % 2 == 0:
+                now ^= 1
+            elif b in b"[]{},:" and not now:
+                want.append((k, b, 1 if b in b"[{" else -1 if b in b"]}" else 0))
+            slashes = slashes + 1 if b == 92 else 0
+        places, bytes_, steps, quotes = json_index.outside(np.frombuffer(text, np.uint8), inside, run)
+        assert list(zip(places.tolist(), bytes_.tolist(), steps.tolist(), strict=True)) == want
+        assert (inside + quotes) % 2 == now
