@@ -59,6 +59,16 @@ def choice_list(field: Column, is_list: Column, items: Column) -> Column:
     return F.transform(given, lambda x: F.struct(F.regexp_extract(strip(x), letter, 1).alias("letter"), strip(F.regexp_replace(strip(x), letter, "")).alias("text")))
 
 
+def from_a(found: Column) -> Column:
+    """Options that a question holds: null unless there are two at least and the first is A."""
+    return F.when((F.size(found) >= 2) & (found[0]["letter"] == "A"), found)
+
+
+def before_first(text: Column, marker: str) -> Column:
+    """What stands before the first marker."""
+    return strip(F.element_at(F.split(text, marker, 2), 1))
+
+
 def stem_and_options(text: Column, marker: str) -> tuple[Column, Column]:
     """(stem, options) of a question that holds its options: null unless there are two markers at least and the first is A."""
     found = pairs(text, marker)

@@ -289,20 +289,31 @@ def _longbench():
     }
 
 
-@dataset("GAOKAO-Bench", "chinese")
-def _gaokao():
-    stem_text, found = P.stem_and_options(text("question"), P.PAPER_OPTION)
-    options = F.array_compact(F.array(*[F.nullif(P.text_of(found, F.lit(x)), F.lit("")) for x in "ABCDE"]))
-    mcq = F.contains(name(), F.lit("MCQ")) & F.coalesce(F.size(options) >= 2, F.lit(False))
+def _with_options_of(raw: DataFrame, question: Column, marker: str) -> DataFrame:
+    """The options that a question holds (found), what stands before them (stem) and their texts by letter (named), each a column: worked out once a row, however many fields read it."""
+    raw = raw.withColumn("__asked", question).withColumn("__marked", P.pairs(F.col("__asked"), marker)).withColumn("__found", P.from_a(F.col("__marked")))
+    named = F.filter(F.array(*[P.text_of(F.col("__found"), F.lit(x)) for x in "ABCDE"]), lambda x: x.isNotNull())
+    return raw.withColumns({"__stem": F.when(F.col("__found").isNotNull(), P.before_first(F.col("__asked"), marker)), "__named": named})
+
+
+def _with_paper_options(raw: DataFrame) -> DataFrame:
+    raw = _with_options_of(raw, text("question"), P.PAPER_OPTION)
+    raw = raw.withColumn("__named", F.filter("__named", lambda x: x != ""))
     letters = F.when(is_list("answer"), items("answer")).otherwise(F.array(text("answer")))
-    texts = F.array_compact(F.transform(letters, lambda x: F.nullif(P.text_of(found, strip(x)), F.lit(""))))
+    return raw.withColumns({"__mcq": F.contains(name(), F.lit("MCQ")) & F.coalesce(F.size("__named") >= 2, F.lit(False)), "__letters": letters})
+
+
+@dataset("GAOKAO-Bench", "chinese", _with_paper_options)
+def _gaokao():
+    mcq, found, letters = F.col("__mcq"), F.col("__found"), F.col("__letters")
+    texts = F.array_join(F.filter(F.transform(F.transform(letters, strip), lambda x: P.text_of(found, x)), lambda x: x != ""), " ")
     plain = F.array_join(letters, " ")
     return {
         "task_type": F.when(mcq, "mcq").otherwise("open_qa"), "lang": F.when(F.contains(name(), F.lit("English")), "en").otherwise("zh"), "split": F.lit("test"),
-        "question": F.when(mcq, stem_text).otherwise(text("question")), "options": F.when(mcq, options), "solution": text("analysis"),
-        "answer": F.when(mcq & (F.size(texts) > 0), F.array_join(texts, " ")).otherwise(plain),
+        "question": F.when(mcq, F.col("__stem")).otherwise(F.col("__asked")), "options": F.when(mcq, F.col("__named")), "solution": text("analysis"),
+        "answer": F.coalesce(F.when(mcq, F.nullif(texts, F.lit(""))), plain),
         "metadata": meta("year", "category", "score", "index", keywords=get("keywords", of="top"), subject_file=name(), kind=F.when(F.contains("file", F.lit("Objective")), "objective").otherwise("subjective"), answer_letter=F.when(mcq, plain)),
-        "reject": {"gaokao_empty_question": text("question") == ""},
+        "reject": {"gaokao_empty_question": F.col("__asked") == ""},
     }
 
 

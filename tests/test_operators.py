@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tamis.functions import text as T
 from tamis.operators import evalbuild, evalset, evaluation, filters, normalizers, sessions, translation
+from tamis.plans import normalizer_queries
 from tamis.sources import readers, writers
 from tamis.streaming import ingest
 
@@ -222,3 +223,18 @@ def test_entry_without_llm(tmp_path):
     shutil.copy(os.path.join(root, "__spark_entry__.py"), tmp_path)
     said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), *sorted(set(e.queries()) ^ set(e.oracle_sql())))"], cwd=tmp_path, env=os.environ | {"PYTHONPATH": ""}, capture_output=True, text=True)
     assert said.stdout.split()[1:] == ["profile_sketches", "vector_neighbours"] and int(said.stdout.split()[0]) > 100, said.stderr
+
+
+@pytest.mark.parametrize("name", ["norm_gaokao_bench"])
+def test_options_of_a_question_are_worked_out_once(spark, tmp_path, capsys, name):
+    """However many fields read them; and one file of narrow rows makes as many tasks as there are partitions."""
+    spark.range(1, 401).selectExpr("id as p_partkey", "'a b' as p_name", "'Brand#1' as p_brand", "'T' as p_type", "cast(id % 50 as int) as p_size").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    d = normalizer_queries.QUERIES[name](spark, str(tmp_path))
+    assert d.count() == 400
+    assert d.select("rid", "answer", F.spark_partition_id().alias("p")).agg(F.countDistinct("p")).first()[0] == 4
+    capsys.readouterr()
+    d.explain()
+    assert capsys.readouterr().out.count("regexp_extract_all(") == 1
+    raw = spark.range(1).selectExpr("'GAOKAO-Bench/x_MCQs_mc.json' as file", """parse_json('{"question": "q A: x B: y", "answer": "A"}') as row""", "'s' as stem", "'n' as named", "'l' as letter")
+    r = normalizers.normalize(raw, "GAOKAO-Bench" if "gaokao" in name else "HalluQA").first()
+    assert (r["stem"], r["named"], r["letter"]) == ("s", "n", "l")  # columns of the caller's go through
