@@ -69,13 +69,6 @@ def before_first(text: Column, marker: str) -> Column:
     return strip(F.element_at(F.split(text, marker, 2), 1))
 
 
-def stem_and_options(text: Column, marker: str) -> tuple[Column, Column]:
-    """(stem, options) of a question that holds its options: null unless there are two markers at least and the first is A."""
-    found = pairs(text, marker)
-    ok = (F.size(found) >= 2) & (found[0]["letter"] == "A")
-    return F.when(ok, strip(F.element_at(F.split(text, marker, -1), 1))), F.when(ok, found)
-
-
 # How options are marked in exam papers, after a colon, and within a line.
 PAPER_OPTION = r"(?:^|\n|\s)([A-E])\s*[．.、)]\s*"
 COLON_OPTION = r"(?:^|\s)([A-E])\s*[:：]\s*"

@@ -345,18 +345,20 @@ def _simpleqa():
     return open_qa(question, answer, lang="zh", split=F.lit("test"), metadata=rest("问题", "答案", "question", "answer"), reject={"simpleqa_empty_question": question == ""})
 
 
-@dataset("HalluQA", "chinese")
-def _hallu():
+def _with_colon_options(raw: DataFrame) -> DataFrame:
+    raw = _with_options_of(raw, F.regexp_replace(text("question"), r"^Question\s*[:：]\s*", ""), P.COLON_OPTION)
     many = F.endswith("file", F.lit("_mc.json"))
+    return raw.withColumns({"__many": many, "__mcq": many & F.col("__found").isNotNull(), "__letter": F.regexp_extract(text("answer"), "([A-E])", 1)})
+
+
+@dataset("HalluQA", "chinese", _with_colon_options)
+def _hallu():
+    many, mcq, letter = F.col("__many"), F.col("__mcq"), F.col("__letter")
     best = F.array_join(F.array_compact(F.array(*[F.nullif(get(f"Best Answer{k}"), F.lit("")) for k in range(1, 6)])), "\n")
-    stem_text, found = P.stem_and_options(F.regexp_replace(text("question"), r"^Question\s*[:：]\s*", ""), P.COLON_OPTION)
-    letter = F.regexp_extract(text("answer"), "([A-E])", 1)
-    mcq = many & found.isNotNull()
-    named = F.array_compact(F.array(*[P.text_of(found, F.lit(x)) for x in "ABCDE"]))
     return {
         "task_type": F.when(mcq, "mcq").otherwise("open_qa"), "lang": F.lit("zh"), "split": F.lit("test"), "orig_id": F.when(many, text("question_id")),
-        "question": F.when(mcq, stem_text).when(many, text("question")).otherwise(text("Question")),
-        "answer": F.when(mcq, P.text_of(found, letter)).when(many, text("answer")).otherwise(best), "options": F.when(mcq, named),
+        "question": F.when(mcq, F.col("__stem")).when(many, text("question")).otherwise(text("Question")),
+        "answer": F.when(mcq, P.text_of(F.col("__found"), letter)).when(many, text("answer")).otherwise(best), "options": F.when(mcq, F.col("__named")),
         "metadata": F.when(many, meta(answer_letter=letter, task=F.lit("mc"))).otherwise(meta(source=text("Source"), task=F.lit("open"))),
         "reject": {"hallu_mc_empty_question": many & (text("question") == ""), "hallu_open_empty_question": ~many & (text("Question") == "")},
     }

@@ -225,7 +225,7 @@ def test_entry_without_llm(tmp_path):
     assert said.stdout.split()[1:] == ["profile_sketches", "vector_neighbours"] and int(said.stdout.split()[0]) > 100, said.stderr
 
 
-@pytest.mark.parametrize("name", ["norm_gaokao_bench"])
+@pytest.mark.parametrize("name", ["norm_gaokao_bench", "norm_halluqa"])
 def test_options_of_a_question_are_worked_out_once(spark, tmp_path, capsys, name):
     """However many fields read them; and one file of narrow rows makes as many tasks as there are partitions."""
     spark.range(1, 401).selectExpr("id as p_partkey", "'a b' as p_name", "'Brand#1' as p_brand", "'T' as p_type", "cast(id % 50 as int) as p_size").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
