@@ -89,6 +89,7 @@ def numbered(df: DataFrame, group: str, order: list[str]) -> DataFrame:
     runs = placed.groupBy("__part", group).agg(F.min("__at").alias("__low"), F.count(F.lit(1)).alias("__n"))
     before = F.coalesce(F.sum("__n").over(W.partitionBy(group).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # a row for each part
     runs = runs.select(F.col("__part").alias("__p"), F.col(group).alias("__g"), "__low", before.alias("__before"))
+    runs = written(runs, "runs")  # so that its size is known: where it is small the rows themselves needn't be shuffled for the join
     joined = placed.join(runs, (F.col("__part") == F.col("__p")) & F.col(group).eqNullSafe(F.col("__g")))
     return joined.withColumn("n", F.col("__at") - F.col("__low") + F.col("__before")).select(*df.columns, "n")
 

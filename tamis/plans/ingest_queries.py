@@ -93,11 +93,10 @@ def array_elements(d):
     path, spark, each = _folder(d, "arrays"), d.sparkSession, 5_000
     rows = d.select(F.coalesce("lang", F.lit("")).alias("lang"), F.to_json(F.struct("doc_id", F.coalesce("text", F.lit("")).alias("text"))).alias("j"), "doc_id")
     placed = numbered(rows, "lang", ["doc_id"]).withColumns({"file": F.concat("lang", F.lit("-"), F.floor(F.col("n") / each).cast("string")), "at": F.col("n") % each})
-    last = placed.groupBy("file").agg(F.max("at").alias("last"))
-    # Lines that make up one array a file: the first opens it, every other begins with a comma.
-    lines = placed.join(last, "file").select("file", "at", F.concat(F.when(F.col("at") == 0, "[").otherwise(","), "j", F.when(F.col("at") == F.col("last"), "]").otherwise("")).alias("value"))
-    # Written first: behind the join the repartition counts as done, and the join may become a broadcast.
-    written(lines, "array-lines").repartition("file").sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").text(path)
+    # Lines that make up one array a file: the first opens it, every other begins with a comma. The window leaves a file's rows in one task, in order.
+    last = F.lead("at").over(W.partitionBy("file").orderBy("at")).isNull()
+    lines = placed.select("file", F.concat(F.when(F.col("at") == 0, "[").otherwise(","), "j", F.when(last, "]").otherwise("")).alias("value"))
+    lines.write.partitionBy("file").text(path)
     v = F.from_json("value", "doc_id long, text string")
     return elements(spark, path, block=1 << 18).select(F.regexp_extract("file", r"file=([^/]*)/", 1).alias("file"), "at", v["doc_id"].alias("doc_id"), v["text"].alias("text"))
 

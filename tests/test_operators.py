@@ -238,3 +238,17 @@ def test_options_of_a_question_are_worked_out_once(spark, tmp_path, capsys, name
     raw = spark.range(1).selectExpr("'GAOKAO-Bench/x_MCQs_mc.json' as file", """parse_json('{"question": "q A: x B: y", "answer": "A"}') as row""", "'s' as stem", "'n' as named", "'l' as letter")
     r = normalizers.normalize(raw, "GAOKAO-Bench" if "gaokao" in name else "HalluQA").first()
     assert (r["stem"], r["named"], r["letter"]) == ("s", "n", "l")  # columns of the caller's go through
+
+
+def test_numbered_rows_stay_where_they_are(spark, capsys):
+    """A few places of groups are joined to the rows: those aren't shuffled once more for it."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        d = evalset.numbered(spark.range(20_000).selectExpr("id % 3 as g", "uuid() as t", "id as k"), "g", ["k"])
+        capsys.readouterr()
+        d.explain()
+        plan = capsys.readouterr().out
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+        assert d.where("n <> (k - g) / 3").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
