@@ -7,7 +7,7 @@ A-Z only, so both run at C speed without touching other letters.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import xxhash
@@ -43,6 +43,14 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(size, str(BATCH_BYTES))
 
 
+def released(batches: Iterable) -> Iterator:
+    """The batches of a task; behind the last, memory that Arrow holds for later goes back, as workers stay alive between tasks."""
+    import pyarrow as pa
+
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
 def id_text(doc_id: str = "doc_id"):
     """doc_id as text; a null id counts as the empty string."""
     return F.coalesce(F.col(doc_id).cast("string"), F.lit(""))

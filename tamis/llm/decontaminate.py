@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm.common import CACHE_ENTRIES, ngram_hashes, small_batches, table, written
+from tamis.llm.common import CACHE_ENTRIES, ngram_hashes, released, small_batches, table, written
 
 N = 4
 LEAST = 0.6
@@ -120,7 +120,7 @@ def counted(docs: DataFrame, keys: np.ndarray, n: int, shorts: list[int]) -> Dat
     def run(batches):
         look, folded = Lookup(sent.value), Folded()
         total = np.zeros(len(look.keys), dtype=np.int64)
-        for b in batches:
+        for b in released(batches):
             for text in b.column(0).cast(pa.large_binary()).to_pylist():
                 hashes = folded.of(text or b"")
                 for grams in windows(hashes, n, shorts):
@@ -139,7 +139,7 @@ def aligned(docs: DataFrame, block: dict, n: int, shorts: list[int], least: floa
     def run(batches):
         x, folded = sent.value, Folded()
         look = Lookup(x["keys"])
-        for b in batches:
+        for b in released(batches):
             out = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.large_binary()).to_pylist(), strict=True):
                 hashes = folded.of(text or b"")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm.common import Members, WordHashes, membership, mixed, ngram_hashes, small_batches, table, written
+from tamis.llm.common import Members, WordHashes, membership, mixed, ngram_hashes, released, small_batches, table, written
 
 SHINGLE = 5
 SIMILAR = 75  # per cent
@@ -85,7 +85,7 @@ def described(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         hashes = WordHashes()
-        for b in batches:
+        for b in released(batches):
             rows = []
             for text in b.column(3).cast(pa.large_binary()).to_pylist():
                 s = shingles(text or b"", hashes)
@@ -154,7 +154,7 @@ def with_texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
 
     def wanted_only(batches):
         have = Members(bits.value)
-        for b in batches:
+        for b in released(batches):
             yield b.filter(pa.array(have.has(b.column(1).to_numpy().view(np.uint64))))
 
     texts = docs.select(*row_key(), "text").where("text is not null").mapInArrow(wanted_only, "id long, h long, text string")
@@ -195,7 +195,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
 
     def run(batches):
         hashes, own = WordHashes(), None
-        for b in batches:
+        for b in released(batches):
             left, right = [], []
             for a, kind, cid, text in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).cast(pa.large_binary()).to_pylist(), strict=True):
                 s = shingles(text, hashes)
@@ -307,7 +307,7 @@ def joined(marked: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
         hashes = WordHashes()
 
         def reduced():  # sets instead of texts, so that a group in hand is small
-            for b in batches:
+            for b in released(batches):
                 sets = [shingles(x, hashes).tobytes() for x in b.column(6).cast(pa.large_binary()).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*b.columns[:6], pa.array(sets, type=pa.large_binary())], names=[*order, "comp", "set"])
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tamis.llm.common import mixed, scratch_folder, small_batches, table
+from tamis.llm.common import mixed, released, scratch_folder, small_batches, table
 
 END_ID = 1
 SHARD_IDS = 500_000
@@ -238,7 +238,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_ids: i
             data = pack(keys, ordinals, payloads)
             return pa.RecordBatch.from_arrays([pa.array([x], type=t) for x, t in ((part, pa.int64()), (shard, pa.int64()), (keys[0], pa.int64()), (keys[-1], pa.int64()), (len(keys), pa.int64()), (size, pa.int64()), (data, pa.binary()))], names=["part", "shard", "first_key", "last_key", "n_docs", "n_ids", "data"])
 
-        for b in batches:
+        for b in released(batches):
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.large_binary()).to_pylist(), strict=True):
                 key = NULL_KEY if doc_id is None else doc_id
                 ordinal = ordinal + 1 if key == last else 0
@@ -268,7 +268,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     starts = within.join(parts, "part").select("part", "shard", (F.col("before_part") + F.col("before")).alias("base"))
 
     def run(batches):
-        for b in batches:
+        for b in released(batches):
             for part, number, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
                 s = Shard(data.as_py())
                 slots = s.find(s.keys, s.ordinals)

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import collections
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -28,12 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm.common import CACHE_ENTRIES, fold, small_batches, table, written
+from tamis.llm.common import CACHE_ENTRIES, fold, released, small_batches, table, written
 
 # Labelled rows that lexicons, label model and classifier are fitted on, at most; chosen by hash of the id.
 TRAINING_DOCS = 12_000
 # Features of the lexicons, at most: the strongest by their z value.
 FEATURES = 2_000
+# Of a task that mines: features counted before their counts go out in part, and words whose features it remembers.
+COUNTED, CUT_WORDS = 200_000, 50_000
 LENGTHS = (4, 5, 6, 7, 8)
 LEAST_Z, LEAST_RATIO = 3.0, 3.0
 SMOOTH = 40  # words added to a text's length in rates
@@ -86,35 +89,39 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``most`` narrow rows
 
 
+def feature_counts(batches: Iterable[pa.RecordBatch], most: int = COUNTED) -> Iterator[pa.RecordBatch]:
+    """Batches of text and toxic: in how many clean and toxic ones each feature stands. Counts go out in parts when more than ``most`` are held."""
+    clean, toxic = collections.Counter(), collections.Counter()
+    words: dict[bytes, list[str]] = {}
+
+    def part():
+        names = [*clean, *(f for f in toxic if f not in clean)]
+        return pa.RecordBatch.from_arrays([pa.array(names, type=pa.string()), *(pa.array([c[f] for f in names], type=pa.int64()) for c in (clean, toxic))], names=["feature", "clean", "toxic"])
+
+    for b in batches:
+        for text, mark in zip(b.column(0).cast(pa.large_binary()).to_pylist(), b.column(1).to_pylist(), strict=True):
+            seen = set()
+            for w in set((text or b"").split()):
+                if w not in words:
+                    if len(words) >= CUT_WORDS:
+                        words.clear()
+                    words[w] = features_of(w)
+                seen.update(words[w])
+            (toxic if mark > 0 else clean).update(seen)
+            if len(clean) + len(toxic) > most:
+                yield part()
+                clean.clear()
+                toxic.clear()
+    yield part()
+
+
 def mined(rows: DataFrame, most: int = FEATURES) -> list[str]:
     """Features of toxic documents, the strongest first."""
 
-    def run(batches):
-        counts: dict[str, list[int]] = {}
-        words = {}
-        for b in batches:
-            for text, toxic in zip(b.column(0).cast(pa.large_binary()).to_pylist(), b.column(1).to_pylist(), strict=True):
-                seen = set()
-                for w in set((text or b"").split()):
-                    if w not in words:
-                        if len(words) >= CACHE_ENTRIES:
-                            words.clear()
-                        words[w] = features_of(w)
-                    seen.update(words[w])
-                for f in seen:
-                    counts.setdefault(f, [0, 0])[toxic > 0] += 1
-            if len(counts) > 1_000_000:
-                yield batch(counts)
-                counts = {}
-        yield batch(counts)
-
-    def batch(counts):
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), type=pa.string()), *(pa.array([c[k] for c in counts.values()], type=pa.int64()) for k in (0, 1))], names=["feature", "clean", "toxic"])
-
     n = rows.agg(F.count(F.when(F.col("toxic") > 0, 1)), F.count(F.when(F.col("toxic") <= 0, 1))).first()
     if not n or not n[0] or not n[1]:
         return []
-    both = rows.select("text", "toxic").mapInArrow(run, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    both = rows.select("text", "toxic").mapInArrow(lambda batches: feature_counts(released(batches)), "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     p1, p0 = F.col("toxic") / n[0], F.col("clean") / n[1]
     p = (F.col("toxic") + F.col("clean")) / (n[0] + n[1])
     z = (p1 - p0) / F.sqrt(p * (1 - p) * (1 / n[0] + 1 / n[1]) + 1e-12)
@@ -137,7 +144,7 @@ def observed(rows: DataFrame, features: list[str]) -> pd.DataFrame:
 
     def run(batches):
         known = Known(number)
-        for b in batches:
+        for b in released(batches):
             out = []
             for text, toxic in zip(b.column(0).cast(pa.large_binary()).to_pylist(), b.column(1).to_pylist(), strict=True):
                 words = (text or b"").split()
@@ -250,7 +257,7 @@ def scored(docs: DataFrame, model: tuple[dict[str, float], float] | None) -> Dat
 
     def run(batches):
         weights = Weights(weight)
-        for b in batches:
+        for b in released(batches):
             z = []
             for text in b.column(1).cast(pa.large_binary()).to_pylist():
                 words = (text or b"").split()
@@ -276,7 +283,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches):
         weights = Weights(weight)
-        for b in batches:
+        for b in released(batches):
             keep = []
             for text in b.column(at).cast(pa.large_binary()).to_pylist():
                 words = (text or b"").split()
