@@ -14,6 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamis.scratch import passing as passing
 from tamis.scratch import scratch_folder as scratch_folder
 from tamis.scratch import written as written
 

@@ -9,7 +9,8 @@ seed; its score is the matched share of the item. Documents with a score of ``LE
 contaminated, so exact copies, edited ones and ones with words put in or left out are found.
 
 The items' n-grams go to the workers in blocks of at most ``BLOCK`` seeds, whatever the benchmark's size; each
-block is one pass over the documents. Whether an n-gram is rare is a ratio within its item, so an item
+block is one pass over the documents, which writes those that hold any of its n-grams, whole. The counts and the
+alignment read that table, which goes with the block. Whether an n-gram is rare is a ratio within its item, so an item
 that stands in a third of all documents keeps its seeds.
 
 Null or empty texts and items match nothing; empty tables: no rows. Texts of any length are searched whole; windows of equal score count once, by the score. Repeated rows are each answered. Items of fewer than
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm.common import CACHE_ENTRIES, ngram_hashes, released, small_batches, table, written
+from tamis.llm.common import CACHE_ENTRIES, ngram_hashes, passing, released, small_batches, table, written
 
 N = 4
 LEAST = 0.6
@@ -113,33 +114,39 @@ def windows(hashes: np.ndarray, n: int, shorts: list[int]):
             yield ngram_hashes(hashes, size)
 
 
-def counted(docs: DataFrame, keys: np.ndarray, n: int, shorts: list[int]) -> DataFrame:
-    """How many documents hold each n-gram of keys: gram, docs. Each task adds up its own first."""
+def holding(docs: DataFrame, keys: np.ndarray, n: int, shorts: list[int]) -> DataFrame:
+    """The documents that hold any n-gram of keys: doc_id, text, grams (places in keys, each once)."""
     sent = docs.sparkSession.sparkContext.broadcast(keys)
 
     def run(batches):
         look, folded = Lookup(sent.value), Folded()
-        total = np.zeros(len(look.keys), dtype=np.int64)
         for b in released(batches):
-            for text in b.column(0).cast(pa.large_binary()).to_pylist():
+            held = []
+            for text in b.column(1).cast(pa.large_binary()).to_pylist():
                 hashes = folded.of(text or b"")
-                for grams in windows(hashes, n, shorts):
-                    at = look.places(grams)[1]
-                    if len(at):
-                        total[np.unique(at)] += 1
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(look.keys[some].view(np.int64)), pa.array(total[some])], names=["gram", "docs"])
+                held.append(np.unique(np.concatenate([look.places(grams)[1] for grams in windows(hashes, n, shorts)])))
+            sizes = np.array([len(x) for x in held], dtype=np.int64)
+            some = np.flatnonzero(sizes)
+            if len(some):
+                rows = b.take(pa.array(some))
+                grams = pa.ListArray.from_arrays(pa.array(np.append(0, sizes[some].cumsum()), type=pa.int32()), pa.array(np.concatenate(held), type=pa.int32()))
+                yield pa.RecordBatch.from_arrays([rows.column(0).cast(pa.int64()), rows.column(1), grams], names=["doc_id", "text", "grams"])
 
-    return docs.select("text").mapInArrow(run, "gram long, docs long").groupBy("gram").agg(F.sum("docs").alias("docs"))
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, text string, grams array<int>")
 
 
-def aligned(docs: DataFrame, block: dict, n: int, shorts: list[int], least: float) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(block)
+def aligned(held: DataFrame, block: dict, n: int, shorts: list[int], least: float) -> DataFrame:
+    """Alignment of the documents of holding() that hold a seed."""
+    sent = held.sparkSession.sparkContext.broadcast(block)
 
     def run(batches):
         x, folded = sent.value, Folded()
         look = Lookup(x["keys"])
         for b in released(batches):
+            if not b.num_rows:
+                continue
+            sizes = b.column(2).value_lengths().to_numpy()  # none is 0
+            b = b.filter(pa.array(np.logical_or.reduceat(x["seed"][b.column(2).flatten().to_numpy()], np.cumsum(sizes) - sizes)))
             out = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.large_binary()).to_pylist(), strict=True):
                 hashes = folded.of(text or b"")
@@ -163,7 +170,7 @@ def aligned(docs: DataFrame, block: dict, n: int, shorts: list[int], least: floa
             cols = list(zip(*out, strict=True)) if out else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["doc_id", "item_id", "n_seeds", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, item_id long, n_seeds long, score double")
+    return held.mapInArrow(run, "doc_id long, item_id long, n_seeds long, score double")
 
 
 def grams_of(words: list[np.ndarray], n: int):
@@ -201,18 +208,21 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = N, least: float = L
         grams = grams_of(words, n)
         shorts = sorted({len(w) for w in words if 0 < len(w) < n})
         keys = np.unique(grams["gram"].to_numpy().view(np.uint64))
-        df = counted(docs, keys, n, shorts).toPandas()  # at most one row a key of the block
-        seen = np.zeros(len(keys), dtype=np.int64)
-        seen[np.searchsorted(keys, df["gram"].to_numpy(dtype=np.int64).view(np.uint64))] = df["docs"]
-        grams["k"] = np.searchsorted(keys, grams["gram"].to_numpy().view(np.uint64))
-        grams["df"] = seen[grams["k"]]
-        middle = grams.groupby("row")["df"].transform("median")
-        seeds = grams[(grams["df"] <= np.maximum(FEW, COMMON * middle)) & (grams["df"] > 0)].sort_values(["k", "row"])
-        if seeds.empty:
-            continue
-        used, first = np.unique(seeds["k"].to_numpy(), return_index=True)
-        sent = {"keys": keys[used], "first": np.append(first, len(seeds)), "item": seeds["row"].to_numpy(), "at": seeds["at"].to_numpy(), "words": words, "ids": rows["item_id"].tolist()}
-        found.append(aligned(docs, sent, n, shorts, least))
+        with passing(holding(docs, keys, n, shorts), "holding") as held:
+            df = held.select(F.explode("grams").alias("k")).groupBy("k").count().toPandas()  # at most one row a key of the block
+            seen = np.zeros(len(keys), dtype=np.int64)
+            seen[df["k"].to_numpy(dtype=np.int64)] = df["count"]
+            grams["k"] = np.searchsorted(keys, grams["gram"].to_numpy().view(np.uint64))
+            grams["df"] = seen[grams["k"]]
+            middle = grams.groupby("row")["df"].transform("median")
+            seeds = grams[(grams["df"] <= np.maximum(FEW, COMMON * middle)) & (grams["df"] > 0)].sort_values(["k", "row"])
+            if seeds.empty:
+                continue
+            used, first = np.unique(seeds["k"].to_numpy(), return_index=True)
+            seed = np.zeros(len(keys), dtype=bool)
+            seed[used] = True
+            sent = {"seed": seed, "keys": keys[used], "first": np.append(first, len(seeds)), "item": seeds["row"].to_numpy(), "at": seeds["at"].to_numpy(), "words": words, "ids": rows["item_id"].tolist()}
+            found.append(written(aligned(held, sent, n, shorts, least), "aligned"))
     if not found:
         return spark.createDataFrame([], "doc_id long, item_id long, n_seeds long, score double")
     out = found[0]

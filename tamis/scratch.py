@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,7 +28,11 @@ def scratch_folder(spark: SparkSession) -> str:
 
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the tables that this application has written here; frames that still read them must be done with."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    _delete(spark, scratch_folder(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -36,3 +42,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def passing(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """Like written(), for as long as the block runs: frames that read the table must be done with by then."""
+    spark = df.sparkSession
+    path = f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        _delete(spark, path)

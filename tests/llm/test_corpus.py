@@ -168,6 +168,33 @@ def test_contaminated_documents_are_those_of_full_alignment(spark):
     assert blocks == got
 
 
+def test_contaminated_folds_each_document_once_a_block(spark):
+    import os
+
+    from tamis.scratch import scratch_folder
+
+    rng = np.random.default_rng(8)
+    items = [(k, " ".join(f"i{rng.integers(300)}" for _ in range(20))) for k in range(4)]
+    rows = awkward_rows() + [(3000 + k, f"before it {items[k % 4][1]} and behind it", "en", "s", 1) for k in range(8)]
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    docs = frame(spark, rows).mapInArrow(seen, DOCS)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, benchmark).collect()}
+    assert got == {(3000 + k, k % 4) for k in range(8)}
+    assert read.value == len(rows)  # not again for the alignment
+    several = len(list(decontaminate.blocks(benchmark, 20)))
+    more = decontaminate.contaminated(docs, benchmark, block=20)
+    assert {(r["doc_id"], r["item_id"]) for r in more.collect()} == got
+    assert several > 1 and read.value <= (1 + several) * len(rows)
+    assert not [x for x in os.listdir(scratch_folder(spark).removeprefix("file:")) if x.startswith("holding")]  # gone with its block
+
+
 def test_alignment():
     a = lambda s: np.array([ord(c) for c in s], dtype=np.uint64)
     assert decontaminate.align(a("abcdef"), a("xxabcdefyy")) == 1.0
