@@ -7,7 +7,9 @@ A-Z only, so both run at C speed without touching other letters.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import xxhash
@@ -44,12 +46,32 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(size, str(BATCH_BYTES))
 
 
-def released(batches: Iterable) -> Iterator:
-    """The batches of a task; behind the last, memory that Arrow holds for later goes back, as workers stay alive between tasks."""
+_kept: dict = {}  # of this worker
+
+
+def kept(name: str, make: Callable[[], object]):
+    """What the tasks of a stage leave to the next ones in this worker: one thing, until a task comes that keeps another or none."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = make()
+    return _kept[name]
+
+
+def released(batches: Iterable, keeps: bool = False) -> Iterator:
+    """The batches of a task, before them what others have kept goes unless this one keeps() it; behind the last, memory held for later goes back, as workers stay alive between tasks."""
     import pyarrow as pa
 
+    if not keeps:
+        _kept.clear()
     yield from batches
     pa.default_memory_pool().release_unused()
+    trimmed()
+
+
+def trimmed() -> None:
+    """Free memory of the C heap goes back to the system, where its library can do that."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def id_text(doc_id: str = "doc_id"):

@@ -29,6 +29,7 @@ import re
 import struct
 import uuid
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,22 +37,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tamis.llm.common import mixed, released, scratch_folder, small_batches, table
+from tamis.llm.common import kept, mixed, released, scratch_folder, small_batches, table
 
 END_ID = 1
 SHARD_IDS = 500_000
 SHARD_DOCS = 20_000
+ROW_GROUP_BYTES = 8 << 20
 MAGIC = int.from_bytes(b"TMS1", "little")
 NULL_KEY = -(1 << 63)
 CACHE_WORDS = 110_000  # a generation of a cache; two are held
-
-_encoders: dict = {}  # of this worker: tokenizer path -> Encoder
+GROUP_BYTES = 2 << 20  # texts that are split together; a longer one is split by itself
 
 # Texts whose characters lower-case and split alike everywhere: ASCII white space, marks, digits and letters, and the letters of Latin-1.
 SIMPLE = re.compile("[ -~\t-\r\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
 # Fixed by the tokenizer: how it splits such texts once they are lower case.
 PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^ \t-\ra-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
+# The same of UTF-8 bytes, where each of these letters from U+00C0 on is the byte C3 and a second one.
+LOWER = bytes(b + 32 if 65 <= b <= 90 or 0x80 <= b <= 0x9E else b for b in range(256))
+SPACE, LETTER, DIGIT, MARK = range(4)
+KINDS = bytes(SPACE if b == 32 or 9 <= b <= 13 else LETTER if bytes([b]).isalpha() or b >= 128 else DIGIT if 48 <= b <= 57 else MARK for b in range(256))
+ODD = bytes(not (32 <= b <= 126 or 9 <= b <= 13 or b == 0xC3 or 0x80 <= b <= 0xBF and b not in (0x97, 0xB7)) for b in range(256))
+SECOND = bytes(0x80 <= b <= 0xBF for b in range(256))
+ENDS = np.frombuffer(b"stmd", dtype=np.uint8)
+ENDS_OF_TWO = [tuple(x) for x in (b"re", b"ve", b"ll")]
+
 
 def byte_letters() -> dict[int, str]:
     """The byte-level alphabet: printable bytes stand for themselves, the others for letters from U+0100 on."""
@@ -99,8 +109,8 @@ class Encoder:
     def _packed(ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _piece(self, piece: str) -> bytes:
-        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+    def _piece(self, piece: bytes) -> bytes:
+        letters = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(self.letters)
         return self._packed([t.id for t in self.model.tokenize(letters)])
 
     def _word(self, word: bytes) -> bytes:
@@ -109,9 +119,60 @@ class Encoder:
     def encode(self, text: bytes) -> bytes:
         s = text.decode()
         if self.simple and "<|" not in s and SIMPLE.fullmatch(s):
-            return b"".join(map(self.pieces.__getitem__, PIECES.findall(s.lower())))
+            return b"".join(map(self.pieces.__getitem__, map(str.encode, PIECES.findall(s.lower()))))
         return b"".join(map(self.words.__getitem__, text.split()))
 
+    def encode_all(self, texts: list[bytes]) -> Iterator[bytes]:
+        """encode() of each text; short simple ones are split together."""
+        group, size = [], 0
+        for text in texts:
+            if group and size + len(text) > GROUP_BYTES:
+                yield from self._group(group)
+                group, size = [], 0
+            group.append(text)
+            size += len(text) + 1
+        yield from self._group(group)
+
+    def _group(self, texts: list[bytes]) -> Iterator[bytes]:
+        raw = b"\n".join((*texts, b"", b"", b""))  # white space between them, and behind the last for the looks ahead below
+        if not self.simple or len(raw) > 2 * GROUP_BYTES:
+            yield from map(self.encode, texts)
+            return
+        begins = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
+        by_byte = lambda table: np.frombuffer(raw.translate(table), dtype=np.uint8)
+        # Texts that aren't simple: by bytes, by a first byte C3 without its second or the reverse, by what may be a special token.
+        second = by_byte(SECOND)
+        odd = by_byte(ODD) != 0
+        odd[1:] |= (np.frombuffer(raw, dtype=np.uint8)[:-1] == 0xC3) != (second[1:] != 0)
+        odd[0] |= second[0] != 0
+        apart = set((np.searchsorted(begins, np.flatnonzero(odd), side="right") - 1).tolist())
+        if b"<|" in raw:
+            apart.update(k for k, t in enumerate(texts) if b"<|" in t)
+
+        low, kind = by_byte(LOWER), by_byte(KINDS)
+        first = kind != SPACE
+        for k in apart:
+            first[begins[k] : begins[k + 1]] = False
+        inside = first.copy()
+        first[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+        # An apostrophe that begins a piece takes these letters along; the letters behind them begin another.
+        quotes = np.flatnonzero(first & (low == ord("'")))
+        one, two = low[quotes + 1], low[quotes + 2]
+        length = np.isin(one, ENDS) + 2 * np.any([(one == a) & (two == b) for a, b in ENDS_OF_TWO], axis=0)
+        quotes, length = quotes[length > 0], length[length > 0]
+        first[quotes + 1] = False
+        first[quotes + 1 + length] |= kind[quotes + 1 + length] == LETTER
+
+        at = np.flatnonzero(first[inside]).astype(np.int32)
+        data = low[inside]
+        pieces = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(np.append(at, np.int32(len(data)))), pa.py_buffer(data)]).dictionary_encode()
+        ids = pa.array(list(map(self.pieces.__getitem__, pieces.dictionary.to_numpy(zero_copy_only=False))), type=pa.binary()).take(pieces.indices)
+        ends = np.frombuffer(ids.buffers()[1], dtype=np.int32)[: len(at) + 1] if len(at) else np.zeros(1, dtype=np.int32)
+        of_text = ends[np.searchsorted(np.flatnonzero(first), begins)].tolist()
+        packed = memoryview(ids.buffers()[2] or b"")
+        for k, text in enumerate(texts):
+            yield self.encode(text) if k in apart else packed[of_text[k] : of_text[k + 1]].tobytes()
+
 
 def default_tokenizer() -> str:
     import public_tokenizers
@@ -229,7 +290,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_ids: i
     def run(batches):
         from pyspark import TaskContext
 
-        encoder = _encoders.get(tokenizer) or _encoders.setdefault(tokenizer, Encoder(tokenizer))
+        encoder = kept(f"token-ids {tokenizer}", lambda: Encoder(tokenizer))
         part, shard, last, ordinal = TaskContext.get().partitionId(), 0, None, 0
         keys, ordinals, payloads, size = [], [], [], 0
         end = np.array([END_ID], dtype="<u4").tobytes()
@@ -238,12 +299,13 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_ids: i
             data = pack(keys, ordinals, payloads)
             return pa.RecordBatch.from_arrays([pa.array([x], type=t) for x, t in ((part, pa.int64()), (shard, pa.int64()), (keys[0], pa.int64()), (keys[-1], pa.int64()), (len(keys), pa.int64()), (size, pa.int64()), (data, pa.binary()))], names=["part", "shard", "first_key", "last_key", "n_docs", "n_ids", "data"])
 
-        for b in released(batches):
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.large_binary()).to_pylist(), strict=True):
+        for b in released(batches, keeps=True):
+            texts = [text or b"" for text in b.column(1).cast(pa.large_binary()).to_pylist()]
+            for doc_id, ids in zip(b.column(0).to_pylist(), encoder.encode_all(texts), strict=True):
                 key = NULL_KEY if doc_id is None else doc_id
                 ordinal = ordinal + 1 if key == last else 0
                 last = key
-                ids = encoder.encode(text or b"") + end
+                ids += end
                 if payloads and (size + len(ids) // 4 > shard_ids or len(keys) == SHARD_DOCS):
                     yield out()
                     keys, ordinals, payloads, size, shard, ordinal = [], [], [], 0, shard + 1, 0
@@ -254,7 +316,9 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_ids: i
         if payloads:
             yield out()
 
-    dealt.mapInArrow(run, "part long, shard long, first_key long, last_key long, n_docs long, n_ids long, data binary").write.parquet(path)
+    shards = dealt.mapInArrow(run, "part long, shard long, first_key long, last_key long, n_docs long, n_ids long, data binary")
+    # Values are large: a page each and few in a row group, else a writer and a reader hold all shards of a file at once.
+    shards.write.option("parquet.page.size.row.check.min", "1").option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

@@ -252,6 +252,58 @@ def test_pieces_are_those_of_the_tokenizer():
         assert encoder.encode(text.encode()) == encoder._packed(encoder.tokenizer.encode(text, add_special_tokens=False).ids), text
 
 
+@pytest.mark.parametrize("group_bytes", [token_ids.GROUP_BYTES, 200])
+def test_texts_split_together_have_the_ids_of_each(monkeypatch, group_bytes):
+    monkeypatch.setattr(token_ids, "GROUP_BYTES", group_bytes)
+    encoder = token_ids.Encoder(token_ids.default_tokenizer())
+    rng = np.random.default_rng(8)
+    simple = list("abcXYZ019 \t\n.,'!-_<|>#@éÉßñöÀÿ") + ["'s", "'LL", "n't", "'street", "!'s", "'re", " '"]
+    others = ["<|", "|>", "日", "ﬁ", "\x1c", "\u00a0", "×", "÷", "\x00", "e\u0301"]
+    texts = ["", "'", "s", "'", "re", " ", "a'l", "l"]
+    for k in range(6000):
+        letters = simple + others * (k % 5 == 0)
+        texts.append("".join(rng.choice(letters, int(rng.integers(0, 30)))))
+    texts.append("it's " * 3_000)
+    want = [encoder._packed(t.ids) for t in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert list(encoder.encode_all([t.encode() for t in texts])) == want
+    assert list(encoder.encode_all([])) == [] and list(encoder.encode_all([b"", b" "])) == [b"", b""]
+
+
+def test_a_group_asks_for_each_distinct_piece_once(monkeypatch):
+    encoder = token_ids.Encoder(token_ids.default_tokenizer())
+    asked = []
+    monkeypatch.setattr(encoder, "pieces", type("Asked", (dict,), {"__missing__": lambda self, piece: asked.append(piece) or encoder._piece(piece)})())
+    ids = list(encoder.encode_all([b"the cat, the CAT", b"a cat's cat"] * 50))
+    assert sorted(asked) == [b"'s", b",", b"a", b"cat", b"the"] and len(ids) == 100
+
+
+def test_few_shards_stand_in_a_row_group(spark, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(token_ids, "ROW_GROUP_BYTES", 4_096)
+    path = tmp_path / "shards"
+    token_ids.write(frame(spark, [(k, f"{k} words of a text " * 200, "en", "s", 1) for k in range(40)]).coalesce(1), str(path), shard_ids=500)
+    files = [pq.ParquetFile(f).metadata for f in path.glob("*.parquet")]
+    assert sum(f.num_rows for f in files) == 40 and sum(f.num_row_groups for f in files) >= 20
+
+
+def test_a_worker_keeps_one_thing_between_tasks_and_drops_it_for_others():
+    from tamis.llm import common
+
+    made = []
+    make = lambda: made.append(1) or [1]
+    try:
+        for _ in range(3):
+            list(common.released([1, 2], keeps=True))
+            common.kept("one", make)
+        assert len(made) == 1
+        common.kept("two", make)
+        assert list(common._kept) == ["two"]
+        assert list(common.released([1, 2])) == [1, 2] and not common._kept
+    finally:
+        common._kept.clear()
+
+
 def test_no_documents_no_shards(spark):
     assert token_ids.encoded(frame(spark, [])).count() == 0
 
